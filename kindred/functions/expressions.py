@@ -23,9 +23,12 @@ def words(text: Column, newline_as_space: bool = False) -> Column:
     return F.filter(F.split(clean_text(text, newline_as_space), " "), lambda w: w != "")
 
 
-def linear_hash(value: Column, a: int, b: int, prime: int, buckets: Column | None = None) -> Column:
-    """((a * value + b) mod prime) mod buckets; the last step is left out without buckets."""
-    hashed = (F.lit(a).cast("long") * value + F.lit(b).cast("long")) % F.lit(prime).cast("long")
+def linear_hash(value: Column, a: Column, b: Column, prime: int, buckets: Column | None = None) -> Column:
+    """((a * value + b) mod prime) mod buckets; the last step is left out without buckets.
+
+    With a, b and value below 2^31 the product stays within a long.
+    """
+    hashed = (a * value + b) % F.lit(prime).cast("long")
     return hashed if buckets is None else hashed % buckets
 
 

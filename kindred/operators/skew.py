@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 HOT_KEYS = 64
@@ -33,33 +33,43 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], chunk: int = CHUNK_ROWS) -> list[Row]:
+    """The heavy hitters of ``df``, found by a job of its own; for inputs that are cheap to read."""
+    return heavy_hitters(count_by(df, *keys), keys, chunk).collect()
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     weights: DataFrame | None = None,
+    hot: list[Row] | None = None,
     chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Equi-join of a skewed ``left`` (distinct rows) with a ``right`` of few rows per key.
 
     Keys with more than ``chunk`` rows on the left are cut into pieces by a hash of the whole row,
-    and only their right rows are copied, once per piece. ``weights`` is a (keys, n) table of left
-    row counts; without it the left side is counted.
+    and only their right rows are copied, once per piece. Which keys these are is told by
+    ``weights``, a lazy (keys, n) table of left row counts, or by ``hot``, a result of
+    :func:`hot_keys`. Without any hot key this is a plain join.
     """
     on = list(on)
-    counts = weights if weights is not None else count_by(left, *on)
-    hot = F.broadcast(
-        heavy_hitters(counts, on, chunk).select(*on, F.ceil(F.col("n") / chunk).cast("int").alias("_pieces"))
-    )
+    if weights is not None:
+        largest = heavy_hitters(weights, on, chunk)
+    elif hot:
+        largest = left.sparkSession.createDataFrame(hot, left.select(*on, F.lit(0).cast("long").alias("n")).schema)
+    else:
+        return left.join(right, on, how)
+    pieces_by_key = F.broadcast(largest.select(*on, F.ceil(F.col("n") / chunk).cast("int").alias("_pieces")))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     left_salted = (
-        left.join(hot, on, "left")
+        left.join(pieces_by_key, on, "left")
         .withColumn("_piece", F.pmod(F.xxhash64(*left.columns), pieces).cast("int"))
         .drop("_pieces")
     )
     right_salted = (
-        right.join(hot, on, "left")
+        right.join(pieces_by_key, on, "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop("_pieces")
     )
@@ -85,3 +95,9 @@ def repeat_rows(df: DataFrame, copies: str, step: int = 10_000) -> DataFrame:
         .withColumn("_inner", F.explode(inner))
         .drop("_outer", "_inner", copies)
     )
+
+
+def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle an input of fewer splits than cores, such as one small file; else leave it alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,19 +22,23 @@ def get_session(master: str | None = None, app: str = "kindred", shuffle_partiti
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local session may go without."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there; it outlives lost executors.
+    """Write ``df`` as a table in the shared folder and go on from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
+    For results that several later steps read, such as a trained model. The table outlives lost
+    executors, and its readers see its size.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/kindred-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
