@@ -208,6 +208,7 @@ def similar_pairs_lsh(
     prime: int = PRIME,
     bucketed: bool = True,
     hot_floor: int = HOT_FLOOR,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """(b1 < b2, sim) of LSH candidates with Jaccard of at least ``threshold``.
 
@@ -217,6 +218,6 @@ def similar_pairs_lsh(
     """
     family = hash_family(ITEM_HASHES, seed=1) if family is None else family
     signatures = minhash_signatures(members, entity, element, family, prime, bucketed)
-    pairs = similar_pairs(members, entity, element, threshold, hot_floor)
+    pairs = similar_pairs(members, entity, element, threshold, hot_floor, raw)
     met = with_shared_bands(pairs, signatures, entity, len(family), rows_per_band, "b1", "b2")
     return met.select("b1", "b2", "sim")

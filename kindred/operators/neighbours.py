@@ -11,7 +11,7 @@ from kindred.functions.expressions import jaccard
 from kindred.operators.minhash import PRIME, USER_HASHES, hash_family, minhash_signatures, with_shared_bands
 from kindred.operators.pairs import HOT_FLOOR, pair_moments, pearson_pairs, with_sizes
 from kindred.operators.ratings import dedup_ratings, distinct_user_ratings, keep_supported, user_rating_stats
-from kindred.operators.skew import count_by, hot_keys, repeat_rows, spread_join
+from kindred.operators.skew import CHUNK_ROWS, count_by, hot_keys, repeat_rows, spread_join
 
 ITEM_NEIGHBOURS = 5
 USER_NEIGHBOURS = 20
@@ -34,7 +34,7 @@ def item_cf_model(
     latest = dedup_ratings(ratings, order_cols)
     if min_ratings > min_overlap:
         latest = keep_supported(ratings, latest, min_ratings)
-    sims = pearson_pairs(pair_moments(latest, "business_id", "user_id", min_overlap=min_overlap, hot_floor=hot_floor))
+    sims = pearson_pairs(pair_moments(latest, "business_id", "user_id", "stars", min_overlap, hot_floor, ratings))
     return sims.filter(F.col("sim") > 0).select(F.col("a").alias("b1"), F.col("b").alias("b2"), "sim")
 
 
@@ -42,7 +42,7 @@ def _user_pairs(
     ratings: DataFrame, order_cols: Sequence[str], min_overlap: int, min_jaccard: float, hot_floor: int
 ) -> DataFrame:
     latest = dedup_ratings(ratings, order_cols)
-    moments = pair_moments(latest, "user_id", "business_id", min_overlap=min_overlap, hot_floor=hot_floor)
+    moments = pair_moments(latest, "user_id", "business_id", "stars", min_overlap, hot_floor, ratings)
     likely = pearson_pairs(moments).filter(F.col("sim") > 0)
     # Set sizes are those of the distinct (user, item) rows.
     sized = with_sizes(likely, latest, "user_id")
@@ -88,31 +88,54 @@ def ordered_model(model: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
-def _neighbour_rows(targets: DataFrame, known: DataFrame, model: DataFrame, given: str, anchor: str) -> DataFrame:
+def _neighbour_rows(
+    targets: DataFrame,
+    known: DataFrame,
+    model: DataFrame,
+    given: str,
+    anchor: str,
+    raw: DataFrame,
+    chunk: int = CHUNK_ROWS,
+) -> DataFrame:
     """Per target (given, anchor) the neighbours of the anchor that ``given`` holds a rating with.
 
     Item mode: given is the user, anchor the item, and the neighbours are items the user rated.
     User mode: given is the item, anchor the user, and the neighbours are users who rated it.
-    A neighbour is in both the ratings of ``given`` and the model rows of ``anchor``; each target
-    starts from the shorter of the two lists, so neither a user with very many ratings nor an item
-    with very many model rows is multiplied out against all its targets.
+    A neighbour is in both the ratings of ``given`` and the model rows of ``anchor``. Each target
+    starts from the shorter of the two lists, and never from a hot one, which would have to go
+    whole to the task of its key. Where both lists are hot there are few targets: these go to the
+    ratings by broadcast. ``raw`` are the rating rows that ``known`` was made from.
     """
     left, right = [c for c in model.columns if c != "sim"]
     both = model.select(F.col(left).alias(anchor), F.col(right).alias("nbr"), "sim").unionByName(
         model.select(F.col(right).alias(anchor), F.col(left).alias("nbr"), "sim")
     )
     rated = known.withColumnRenamed(anchor, "nbr")
-    held = count_by(rated, given, name="_held")
-    near = count_by(both, anchor, name="_near")
-    hot_given, hot_anchor = hot_keys(targets, [given]), hot_keys(targets, [anchor])
-    sized = spread_join(targets, held, [given], hot=hot_given)
-    sized = spread_join(sized, near, [anchor], hot=hot_anchor)
-    short = F.col("_held") <= F.col("_near")
-    from_ratings = sized.filter(short).drop("_held", "_near")
-    from_model = sized.filter(~short).drop("_held", "_near")
-    rows_a = spread_join(from_ratings, rated, [given], hot=hot_given).join(both, [anchor, "nbr"])
-    rows_b = spread_join(from_model, both, [anchor], hot=hot_anchor).join(rated, [given, "nbr"])
-    return rows_a.unionByName(rows_b)
+    many_ratings = [r[given] for r in hot_keys(raw, [given], chunk)]
+    many_near = [r[anchor] for r in hot_keys(both, [anchor], chunk)]
+    hot_given, hot_anchor = hot_keys(targets, [given], chunk), hot_keys(targets, [anchor], chunk)
+
+    sized = spread_join(targets, count_by(rated, given, name="_held"), [given], hot=hot_given, chunk=chunk)
+    sized = spread_join(sized, count_by(both, anchor, name="_near"), [anchor], hot=hot_anchor, chunk=chunk)
+    long_ratings, long_near = F.col(given).isin(many_ratings), F.col(anchor).isin(many_near)
+    by_ratings = ~long_ratings & (long_near | (F.col("_held") <= F.col("_near")))
+    by_model = ~long_near & (long_ratings | (F.col("_held") > F.col("_near")))
+
+    def take(route: Column) -> DataFrame:
+        return sized.filter(route).drop("_held", "_near")
+
+    pair = [anchor, "nbr"]
+    rows = spread_join(take(by_ratings), rated.filter(~long_ratings), [given], hot=hot_given, chunk=chunk).join(both, pair)
+    rows = rows.unionByName(
+        spread_join(take(by_model), both.filter(~long_near), [anchor], hot=hot_anchor, chunk=chunk).join(
+            rated, [given, "nbr"]
+        )
+    )
+    if many_ratings and many_near:
+        # Distinct targets of at most HOT_KEYS keys on either side.
+        few = F.broadcast(take(long_ratings & long_near))
+        rows = rows.unionByName(rated.filter(long_ratings).join(few, given).join(both, pair))
+    return rows
 
 
 def _nearest(rows: DataFrame, given: str, anchor: str, top_n: int) -> DataFrame:
@@ -142,6 +165,7 @@ def item_cf_predict(
     model: DataFrame,
     top_n: int = ITEM_NEIGHBOURS,
     clip: tuple[float, float] | None = None,
+    chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(user_id, business_id, stars) for the target rows that have a neighbour.
 
@@ -150,7 +174,7 @@ def item_cf_predict(
     times: pass a saved or materialized one.
     """
     wanted = count_by(targets, "user_id", "business_id", name="_copies")
-    rows = _neighbour_rows(wanted, distinct_user_ratings(ratings), model, "user_id", "business_id")
+    rows = _neighbour_rows(wanted, distinct_user_ratings(ratings), model, "user_id", "business_id", ratings, chunk)
     best = _nearest(rows, "user_id", "business_id", top_n)
     sums = _weighted(best, "user_id", "business_id", F.col("stars"))
     usable = sums.filter((F.col("_top") != 0) & (F.col("_weight") != 0))
@@ -184,6 +208,7 @@ def user_cf_predict(
     top_n: int = USER_NEIGHBOURS,
     clip: tuple[float, float] | None = None,
     emit_zero_deviation: bool = False,
+    chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(user_id, business_id, stars): the user's mean plus the neighbours' weighted deviations.
 
@@ -191,12 +216,13 @@ def user_cf_predict(
     is read several times: pass a saved or materialized one.
     """
     wanted = count_by(targets, "user_id", "business_id", name="_copies")
-    rows = _neighbour_rows(wanted, rating_deviations(ratings, order_cols), model, "business_id", "user_id")
+    known = rating_deviations(ratings, order_cols)
+    rows = _neighbour_rows(wanted, known, model, "business_id", "user_id", ratings, chunk)
     best = _nearest(rows, "business_id", "user_id", top_n)
     sums = _weighted(best, "business_id", "user_id", F.col("deviation"))
     usable = sums.filter(F.col("_weight") != 0)
     if not emit_zero_deviation:
         usable = usable.filter(F.col("_top") != 0)
     means = user_rating_stats(ratings).select("user_id", "mean_stars")
-    placed = spread_join(usable, means, ["user_id"], hot=hot_keys(wanted, ["user_id"]))
+    placed = spread_join(usable, means, ["user_id"], hot=hot_keys(wanted, ["user_id"], chunk), chunk=chunk)
     return _finish(placed.withColumn("stars", F.col("mean_stars") + F.try_divide("_top", "_weight")), clip)

@@ -86,6 +86,7 @@ def overlap_pairs(
     min_overlap: int = 1,
     min_jaccard: float = 0.0,
     hot_floor: int = HOT_FLOOR,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs (a < b) sharing at least ``min_overlap`` elements and with Jaccard >= ``min_jaccard``.
 
@@ -93,12 +94,14 @@ def overlap_pairs(
     size_b if ``min_jaccard`` is positive; with ``value`` also the moments sx, sy, sxx, syy, sxy
     of the two values over the shared elements.
 
-    Planning runs one small job: the degrees of the most frequent elements.
+    Planning runs one small job: the degrees of the most frequent elements. They may be counted in
+    ``raw``, the rows that ``rows`` were made from, as repeats do no harm there.
     """
     members = rows.select(
         F.col(entity).alias("id"), F.col(element).alias("via"), *([F.col(value).cast("double").alias("v")] if value else [])
     )
-    largest = heavy_hitters(count_by(members, "via"), ["via"], hot_floor, limit=HOT_KEYS + 1).collect()
+    vias = members if raw is None else raw.select(F.col(element).alias("via"))
+    largest = heavy_hitters(count_by(vias, "via"), ["via"], hot_floor, limit=HOT_KEYS + 1).collect()
     hot = [r["via"] for r in reversed(largest[:HOT_KEYS])]  # rare to frequent
     split_light = len(largest) > HOT_KEYS
 
@@ -216,9 +219,10 @@ def similar_pairs(
     element: str = "user_id",
     threshold: float = 0.05,
     hot_floor: int = HOT_FLOOR,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """All pairs (b1 < b2, sim) with Jaccard of at least ``threshold``; equality counts."""
-    pairs = overlap_pairs(members, entity, element, min_jaccard=threshold, hot_floor=hot_floor)
+    pairs = overlap_pairs(members, entity, element, min_jaccard=threshold, hot_floor=hot_floor, raw=raw)
     sim = F.round(jaccard(F.col("n"), F.col("size_a"), F.col("size_b")), SIM_DIGITS)
     return pairs.select(F.col("a").alias("b1"), F.col("b").alias("b2"), sim.alias("sim"))
 
@@ -229,9 +233,10 @@ def jaccard_pairs(
     element: str = "user_id",
     min_overlap: int = 3,
     hot_floor: int = HOT_FLOOR,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Intersection, union and Jaccard of the pairs sharing at least ``min_overlap`` elements."""
-    pairs = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor)
+    pairs = overlap_pairs(members, entity, element, None, min_overlap, hot_floor=hot_floor, raw=raw)
     sized = with_sizes(pairs, members, entity)
     union = F.col("size_a") + F.col("size_b") - F.col("n")
     return sized.select(
@@ -260,9 +265,10 @@ def pair_moments(
     stars: str = "stars",
     min_overlap: int = 3,
     hot_floor: int = HOT_FLOOR,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """n, Sx, Sy, Sxx, Syy, Sxy over the common entries of each pair with enough of them."""
-    return overlap_pairs(ratings, entity, element, stars, min_overlap=min_overlap, hot_floor=hot_floor)
+    return overlap_pairs(ratings, entity, element, stars, min_overlap, hot_floor=hot_floor, raw=raw)
 
 
 def pearson_pairs(moments: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def similar_businesses(
     """(b1 < b2, sim). "lsh" keeps the pairs a MinHash run would find, "exact" keeps all."""
     members = entity_members(reviews, "business_id", "user_id")
     if method == "exact":
-        return similar_pairs(members, threshold=threshold)
+        return similar_pairs(members, threshold=threshold, raw=reviews)
     if method == "lsh":
-        return similar_pairs_lsh(members, threshold=threshold, family=family, rows_per_band=rows_per_band)
+        return similar_pairs_lsh(members, threshold=threshold, family=family, rows_per_band=rows_per_band, raw=reviews)
     raise ValueError(f"method must be 'lsh' or 'exact', not {method!r}")
