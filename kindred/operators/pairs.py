@@ -5,8 +5,8 @@ stars. A pair is found through the elements it shares, never by comparing all en
 
 * *Light* elements, each in a bounded number of sets, are self-joined and counted per pair. Their
   rows carry the moments of the numbers, so no second look at the sets is needed.
-* *Hot* elements (at most ``HOT_KEYS``, the most frequent ones above ``hot_floor``) are never
-  self-joined by themselves. Every entity holds them as a short profile, which is added to the
+* *Hot* elements (at most ``HOT_KEYS`` = 64, the most frequent ones above ``hot_floor``) are never
+  self-joined by themselves. Every entity holds them as a bit mask, whose overlap is added to the
   pairs found through light elements. A pair that qualifies by hot elements alone is found through
   ``min_overlap`` of them together (up to three), in an order from rare to frequent, and only pairs
   that do reach the thresholds leave that join, each exactly once.
@@ -54,21 +54,41 @@ def _group_pairs(rows: DataFrame, keys: list[str], carried: list[str], blocked:
     return pairs if keep is None else pairs.filter(keep)
 
 
-def _combinations(ranks: Column, size: int) -> Column:
-    """All ascending arrays of ``size`` (1, 2 or 3) entries of an ascending array."""
-    def after(i: Column) -> Column:
-        return F.slice(ranks, i + F.lit(2), F.lit(HOT_KEYS))
+def _signed(bits: int) -> int:
+    return bits - 2**64 if bits >= 2**63 else bits
 
-    if size == 1:
-        return F.transform(ranks, lambda x: F.array(x))
-    if size == 2:
-        return F.flatten(F.transform(ranks, lambda x, i: F.transform(after(i), lambda y: F.array(x, y))))
 
-    def thirds(x: Column, rest: Column) -> Column:
-        tail = lambda j: F.slice(rest, j + F.lit(2), F.lit(HOT_KEYS))
-        return F.flatten(F.transform(rest, lambda y, j: F.transform(tail(j), lambda z: F.array(x, y, z))))
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(_signed(v)).cast("long") for v in values])
+
 
-    return F.flatten(F.transform(ranks, lambda x, i: thirds(x, after(i))))
+def _rank_sets(ranks: Column, size: int) -> Column:
+    """All sets of ``size`` (1, 2 or 3) ranks of an ascending array, as (key, below).
+
+    ``key`` is the bit mask of the set, ``below`` the mask of every rank up to its highest.
+    """
+    bit = _longs([1 << r for r in range(HOT_KEYS)])
+    below = _longs([(1 << (r + 1)) - 1 for r in range(HOT_KEYS)])
+
+    def entry(*chosen: Column) -> Column:
+        key = F.get(bit, chosen[0])
+        for r in chosen[1:]:
+            key = key.bitwiseOR(F.get(bit, r))
+        return F.struct(key.alias("key"), F.get(below, chosen[-1]).alias("below"))
+
+    def above(r: Column) -> Column:
+        return F.filter(ranks, lambda x: x > r)
+
+    if size == 1:
+        return F.transform(ranks, lambda x: entry(x))
+    if size == 2:
+        return F.flatten(F.transform(ranks, lambda x: F.transform(above(x), lambda y: entry(x, y))))
+    return F.flatten(
+        F.transform(
+            ranks,
+            lambda x: F.flatten(F.transform(above(x), lambda y: F.transform(above(y), lambda z: entry(x, y, z)))),
+        )
+    )
 
 
 def _reaches(overlap: Column, min_overlap: int, min_jaccard: float) -> Column:
@@ -142,15 +162,13 @@ def overlap_pairs(
 
 
 def _hot_profiles(members: DataFrame, hot: list, value: str | None, sized: bool) -> DataFrame:
-    """Per entity its hot elements by rank (0 is the rarest); at most ``HOT_KEYS`` entries."""
-    rank = F.create_map(*[F.lit(x) for pair in zip(hot, range(len(hot))) for x in pair])
-    number = F.col("v") if value else F.lit(0.0)
-    entry = F.struct(rank[F.col("via")].alias("rank"), number.alias("v"))
-    return (
-        members.filter(F.col("via").isin(hot))
-        .groupBy("id", *(["size"] if sized else []))
-        .agg(F.sort_array(F.collect_list(entry)).alias("profile"))
-    )
+    """Per entity the mask of its hot elements by rank (0 is the rarest), and their values."""
+    ranks = F.create_map(*[F.lit(x) for pair in zip(hot, range(len(hot))) for x in pair])
+    rank = ranks[F.col("via")]
+    columns = [F.bit_or(F.get(_longs([1 << r for r in range(HOT_KEYS)]), rank)).alias("mask")]
+    if value:  # at most HOT_KEYS entries
+        columns.append(F.map_from_entries(F.collect_list(F.struct(rank.alias("rank"), "v"))).alias("values"))
+    return members.filter(F.col("via").isin(hot)).groupBy("id", *(["size"] if sized else [])).agg(*columns)
 
 
 def _hot_only_pairs(
@@ -162,55 +180,53 @@ def _hot_only_pairs(
     ``held - needed + width`` entries of both profiles, as ``needed`` entries are shared.
     """
     width = min(max(min_overlap, 1), 3)
-    needed = F.lit(min_overlap)
+    needed = F.lit(max(min_overlap, width))
+    sized = []
     if min_jaccard > 0:
+        sized = ["size"]
         needed = F.greatest(needed, F.ceil(F.col("size") * F.lit(min_jaccard) - _EPS).cast("int"))
-    ranks = F.transform("profile", lambda e: e["rank"])
-    held = profiles.withColumn("ranks", ranks).withColumn("needed", F.greatest(needed, F.lit(width)))
-    sized = ["size"] if min_jaccard > 0 else []
-    keyed = held.filter(F.size("ranks") >= F.col("needed")).select(
-        "id",
-        "ranks",
-        *sized,
-        F.explode(
-            _combinations(F.slice(F.col("ranks"), F.lit(1), F.size("ranks") - F.col("needed") + F.lit(width)), width)
-        ).alias("key"),
-    )
+    held = profiles.select(
+        "id", "mask", *sized, F.bit_count("mask").alias("held"), needed.alias("needed")
+    ).filter(F.col("held") >= F.col("needed"))
+    ranks = F.filter(F.sequence(F.lit(0), F.lit(HOT_KEYS - 1)), lambda r: F.getbit("mask", r) == 1)
+    first = F.slice(ranks, F.lit(1), F.col("held") - F.col("needed") + F.lit(width))
+    keyed = held.withColumn("ranks", first).select("id", "mask", *sized, F.inline(_rank_sets(F.col("ranks"), width)))
     # At most C(HOT_KEYS, 3) distinct keys, so their counts may be broadcast.
     groups = F.broadcast(count_by(keyed, "key", name="_n").filter(F.col("_n") > 1))
     blocks = _block_columns(keyed.join(groups, "key"), "_n", block_rows)
-    common = F.array_intersect("ranks_a", "ranks_b")
-    keep = _reaches(F.size(common), min_overlap, min_jaccard) & (F.slice(common, 1, width) == F.col("key"))
+    common = F.col("mask_a").bitwiseAND(F.col("mask_b"))
+    keep = _reaches(F.bit_count(common), min_overlap, min_jaccard)
+    keep = keep & (common.bitwiseAND(F.col("below_a")) == F.col("key"))
     if size_keep is not None:
         keep = size_keep & keep
-    return _group_pairs(blocks, ["key"], ["ranks", *sized], True, keep)
+    return _group_pairs(blocks, ["key"], ["mask", "below", *sized], True, keep)
 
 
 def _add_hot_moments(pairs: DataFrame, profiles: DataFrame, with_values: bool) -> DataFrame:
-    def entries(side: str) -> DataFrame:
-        return profiles.select(F.col("id").alias(side), F.map_from_entries("profile").alias(f"hot_{side}"))
-
-    joined = salted_join(pairs, entries("a"), "a", "b")
-    joined = salted_join(joined, entries("b"), "b", "a")
-    a, b = F.col("hot_a"), F.col("hot_b")
-    common = F.when(
-        a.isNotNull() & b.isNotNull(), F.array_intersect(F.map_keys(a), F.map_keys(b))
-    ).otherwise(F.array().cast("array<int>"))
-    joined = joined.withColumn("common", common)
+    carried = ["mask"] + (["values"] if with_values else [])
+    columns = pairs.columns
+    for side, other in (("a", "b"), ("b", "a")):
+        one = profiles.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in carried])
+        pairs = salted_join(pairs, one, side, other)
+    common = F.col("mask_a").bitwiseAND(F.col("mask_b"))  # null where a side has no hot element
+    added = {"n": F.coalesce(F.bit_count(common), F.lit(0)).cast("long")}
+    if with_values:
+        a, b = F.col("values_a"), F.col("values_b")
+        shared = F.filter(F.map_keys(a), lambda r: F.getbit(common, r) == 1)
+        shared = F.when(common != 0, shared).otherwise(F.array().cast("array<int>"))
+        pairs = pairs.withColumn("_shared", shared)
 
-    def total(term) -> Column:
-        return F.aggregate("common", F.lit(0.0), lambda acc, k: acc + term(k))
+        def total(term) -> Column:
+            return F.aggregate("_shared", F.lit(0.0), lambda acc, r: acc + term(r))
 
-    added = {"n": F.size("common").cast("long")}
-    if with_values:
         added |= {
-            "sx": total(lambda k: a[k]),
-            "sy": total(lambda k: b[k]),
-            "sxx": total(lambda k: a[k] * a[k]),
-            "syy": total(lambda k: b[k] * b[k]),
-            "sxy": total(lambda k: a[k] * b[k]),
+            "sx": total(lambda r: a[r]),
+            "sy": total(lambda r: b[r]),
+            "sxx": total(lambda r: a[r] * a[r]),
+            "syy": total(lambda r: b[r] * b[r]),
+            "sxy": total(lambda r: a[r] * b[r]),
         }
-    return joined.select(*[(F.col(c) + added[c]).alias(c) if c in added else F.col(c) for c in pairs.columns])
+    return pairs.select(*[(F.col(c) + added[c]).alias(c) if c in added else F.col(c) for c in columns])
 
 
 def similar_pairs(

@@ -32,7 +32,7 @@ def test_jaccard_exactly_at_the_threshold_is_kept(spark):
     assert sims(pairs.similar_pairs(table(spark, members), threshold=0.0501)) == {}
 
 
-@pytest.mark.parametrize("floor", [5_000, 20, 8, 3, 1])
+@pytest.mark.parametrize("floor", [5_000, 20, 3])
 def test_similar_pairs_equal_brute_force_whatever_counts_as_hot(spark, floor):
     members = random_members(7)
     for threshold in (0.05, 0.3):
@@ -40,7 +40,7 @@ def test_similar_pairs_equal_brute_force_whatever_counts_as_hot(spark, floor):
         assert found == naive.similar(members, threshold)
 
 
-@pytest.mark.parametrize("floor", [5_000, 20, 4, 1])
+@pytest.mark.parametrize("floor", [5_000, 4])
 @pytest.mark.parametrize("min_overlap", [1, 2, 3, 4])
 def test_overlap_counts_equal_brute_force(spark, floor, min_overlap):
     members = random_members(11, n=250)
