@@ -15,6 +15,7 @@ from kindred.operators.skew import CHUNK_ROWS, count_by, hot_keys, repeat_rows,
 
 ITEM_NEIGHBOURS = 5
 USER_NEIGHBOURS = 20
+ROUTE_KEYS = 1_000
 # Weighted sums are rounded before they are compared with 0.
 SUM_DIGITS = 9
 
@@ -111,8 +112,8 @@ def _neighbour_rows(
         model.select(F.col(right).alias(anchor), F.col(left).alias("nbr"), "sim")
     )
     rated = known.withColumnRenamed(anchor, "nbr")
-    many_ratings = [r[given] for r in hot_keys(raw, [given], chunk)]
-    many_near = [r[anchor] for r in hot_keys(both, [anchor], chunk)]
+    many_ratings = [r[given] for r in hot_keys(raw, [given], chunk, ROUTE_KEYS)]
+    many_near = [r[anchor] for r in hot_keys(both, [anchor], chunk, ROUTE_KEYS)]
     hot_given, hot_anchor = hot_keys(targets, [given], chunk), hot_keys(targets, [anchor], chunk)
 
     sized = spread_join(targets, count_by(rated, given, name="_held"), [given], hot=hot_given, chunk=chunk)
@@ -132,7 +133,7 @@ def _neighbour_rows(
         )
     )
     if many_ratings and many_near:
-        # Distinct targets of at most HOT_KEYS keys on either side.
+        # Distinct targets of at most ROUTE_KEYS keys on either side.
         few = F.broadcast(take(long_ratings & long_near))
         rows = rows.unionByName(rated.filter(long_ratings).join(few, given).join(both, pair))
     return rows

@@ -7,9 +7,9 @@ stars. A pair is found through the elements it shares, never by comparing all en
   rows carry the moments of the numbers, so no second look at the sets is needed.
 * *Hot* elements (at most ``HOT_KEYS`` = 64, the most frequent ones above ``hot_floor``) are never
   self-joined by themselves. Every entity holds them as a bit mask, whose overlap is added to the
-  pairs found through light elements. A pair that qualifies by hot elements alone is found through
-  ``min_overlap`` of them together (up to three), in an order from rare to frequent, and only pairs
-  that do reach the thresholds leave that join, each exactly once.
+  pairs found through light elements. A pair that qualifies by hot elements alone is found by
+  matching classes of equal masks, keyed by up to three shared hot elements, and only pairs that
+  do reach the thresholds are written out, each exactly once.
 
 The result is complete for any skew: nothing is dropped, capped or sampled.
 """
@@ -151,7 +151,7 @@ def overlap_pairs(
 
     if hot:
         profiles = _hot_profiles(members, hot, value, sized)
-        alone = _hot_only_pairs(profiles, min_overlap, min_jaccard, size_keep, hot_floor)
+        alone = _hot_only_pairs(profiles, min_overlap, min_jaccard, hot_floor)
         zeros = [F.lit(0).cast(t).alias(c) for c, t in found.dtypes if c in measures]
         found = found.unionByName(alone.select(*pair_keys, *zeros))
 
@@ -171,35 +171,70 @@ def _hot_profiles(members: DataFrame, hot: list, value: str | None, sized: bool)
     return members.filter(F.col("via").isin(hot)).groupBy("id", *(["size"] if sized else [])).agg(*columns)
 
 
-def _hot_only_pairs(
-    profiles: DataFrame, min_overlap: int, min_jaccard: float, size_keep: Column | None, block_rows: int
-) -> DataFrame:
+def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, block_rows: int) -> DataFrame:
     """Pairs that reach the thresholds by their hot elements alone, each once.
 
-    The rarest ``width`` shared hot elements key a pair. They stand among the first
-    ``held - needed + width`` entries of both profiles, as ``needed`` entries are shared.
+    Whether they do depends on the two masks and set sizes only. So the entities are grouped into
+    classes of equal mask and size, the classes are matched, and just the matching ones are
+    written out: every pair of their members is a result.
+
+    The rarest ``width`` shared hot elements key a match. They stand among the first
+    ``held - needed + width`` entries of both masks, as ``needed`` entries are shared.
     """
     width = min(max(min_overlap, 1), 3)
     needed = F.lit(max(min_overlap, width))
-    sized = []
+    label = ["mask"]
     if min_jaccard > 0:
-        sized = ["size"]
+        label = ["mask", "size"]
         needed = F.greatest(needed, F.ceil(F.col("size") * F.lit(min_jaccard) - _EPS).cast("int"))
-    held = profiles.select(
-        "id", "mask", *sized, F.bit_count("mask").alias("held"), needed.alias("needed")
-    ).filter(F.col("held") >= F.col("needed"))
+    held = F.bit_count("mask")
+    members = profiles.select("id", *label).filter(held >= needed)
+    classes = count_by(members, *label)
+    large = F.broadcast(
+        heavy_hitters(classes, label, block_rows).select(*label, F.ceil(F.col("n") / block_rows).cast("int").alias("_blocks"))
+    )
+    blocks = F.coalesce(F.col("_blocks"), F.lit(1))
+
     ranks = F.filter(F.sequence(F.lit(0), F.lit(HOT_KEYS - 1)), lambda r: F.getbit("mask", r) == 1)
-    first = F.slice(ranks, F.lit(1), F.col("held") - F.col("needed") + F.lit(width))
-    keyed = held.withColumn("ranks", first).select("id", "mask", *sized, F.inline(_rank_sets(F.col("ranks"), width)))
-    # At most C(HOT_KEYS, 3) distinct keys, so their counts may be broadcast.
-    groups = F.broadcast(count_by(keyed, "key", name="_n").filter(F.col("_n") > 1))
-    blocks = _block_columns(keyed.join(groups, "key"), "_n", block_rows)
+    first = F.slice(ranks, F.lit(1), held - needed + F.lit(width))
+    keyed = (
+        classes.join(large, label, "left")
+        .select(*label, "n", blocks.alias("blocks"), first.alias("_ranks"))
+        .select(*label, "n", "blocks", F.inline(_rank_sets(F.col("_ranks"), width)))
+    )
+
+    def side(name: str) -> DataFrame:
+        return keyed.select("key", *[F.col(c).alias(f"{c}_{name}") for c in [*label, "n", "blocks", "below"]])
+
     common = F.col("mask_a").bitwiseAND(F.col("mask_b"))
-    keep = _reaches(F.bit_count(common), min_overlap, min_jaccard)
-    keep = keep & (common.bitwiseAND(F.col("below_a")) == F.col("key"))
-    if size_keep is not None:
-        keep = size_keep & keep
-    return _group_pairs(blocks, ["key"], ["mask", "below", *sized], True, keep)
+    label_a, label_b = ([f"{c}_{name}" for c in label] for name in ("a", "b"))
+    order_a, order_b = F.struct(*[F.col(c).alias(c[:-2]) for c in label_a]), F.struct(*[F.col(c).alias(c[:-2]) for c in label_b])
+    matched = (
+        side("a")
+        .join(side("b"), "key")
+        .filter((order_a < order_b) | ((order_a == order_b) & (F.col("n_a") > 1)))
+        .filter(_reaches(F.bit_count(common), min_overlap, min_jaccard))
+        .filter(common.bitwiseAND(F.col("below_a")) == F.col("key"))
+        .select(*label_a, *label_b, "blocks_b", F.explode(F.sequence(F.lit(0), F.col("blocks_a") - 1)).alias("_block_a"))
+        .withColumn("_block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+    )
+    placed = members.join(large, label, "left").withColumn("_block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    for name, names in (("a", label_a), ("b", label_b)):
+        one = placed.select(
+            F.col("id").alias(f"id_{name}"), F.col("_block").alias(f"_block_{name}"),
+            *[F.col(c).alias(n) for c, n in zip(label, names)],
+        )
+        matched = matched.join(one, [*names, f"_block_{name}"])
+    rising = F.col("id_a") < F.col("id_b")
+    sizes = []
+    if min_jaccard > 0:
+        sizes = [
+            F.when(rising, F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
+            F.when(rising, F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"),
+        ]
+    return matched.filter((order_a < order_b) | rising).select(
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), *sizes
+    )
 
 
 def _add_hot_moments(pairs: DataFrame, profiles: DataFrame, with_values: bool) -> DataFrame:

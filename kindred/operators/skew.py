@@ -1,8 +1,8 @@
 """Joins and lookups that stay balanced when one key holds a large share of all rows.
 
-The building block is a *heavy hitter* table: the ``HOT_KEYS`` most frequent keys above a floor.
-Its size is bounded by construction, so it may be broadcast; and every key left out of it holds at
-most ``max(floor, rows / (HOT_KEYS + 1))`` rows.
+The building block is a *heavy hitter* table: the ``limit`` most frequent keys above a floor. Its
+size is bounded by construction, so it may be broadcast; and every key left out of it holds at most
+``max(floor, rows / (limit + 1))`` rows.
 """
 
 from __future__ import annotations
@@ -12,17 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-HOT_KEYS = 64
+HOT_KEYS = 64  # kept as the bits of one long
+JOIN_KEYS = 10_000
 CHUNK_ROWS = 100_000
 
 
-def heavy_hitters(counts: DataFrame, keys: Sequence[str], floor: int, n: str = "n", limit: int = HOT_KEYS) -> DataFrame:
+def heavy_hitters(counts: DataFrame, keys: Sequence[str], floor: int, limit: int = JOIN_KEYS) -> DataFrame:
     """The ``limit`` largest groups of a (keys, n) count table that have more than ``floor`` rows.
 
     The order is total (count, then key), so every evaluation picks the same groups.
     """
     return (
-        counts.select(*keys, F.col(n).alias("n"))
+        counts.select(*keys, "n")
         .filter(F.col("n") > floor)
         .orderBy(F.desc("n"), *keys)
         .limit(limit)
@@ -33,9 +34,9 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], chunk: int = CHUNK_ROWS) -> list[Row]:
+def hot_keys(df: DataFrame, keys: Sequence[str], chunk: int = CHUNK_ROWS, limit: int = JOIN_KEYS) -> list[Row]:
     """The heavy hitters of ``df``, found by a job of its own; for inputs that are cheap to read."""
-    return heavy_hitters(count_by(df, *keys), keys, chunk).collect()
+    return heavy_hitters(count_by(df, *keys), keys, chunk, limit).collect()
 
 
 def spread_join(
