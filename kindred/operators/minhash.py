@@ -63,9 +63,10 @@ def _dense_ids(df: DataFrame, column: str, rows_per_range: int = 1_000_000) -> t
         sample = ids.orderBy(F.xxhash64(column), column).limit(_SAMPLE_PER_RANGE * ranges).collect()
         values = sorted(r[0] for r in sample)
         cuts = values[_SAMPLE_PER_RANGE // 2 :: _SAMPLE_PER_RANGE]
-    part = F.lit(0)
-    if cuts:
-        part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column)))
+    if not cuts:  # at most rows_per_range ids
+        position = F.row_number().over(Window.orderBy(column)) - 1
+        return ids.select(column, position.cast("long").alias("idx")), n
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column)))
     ranged = ids.withColumn("_range", part)
     # One row per range, at most _MAX_RANGES + 1.
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
