@@ -11,6 +11,7 @@ from checks import inputs
 from checks.inputs import ORDER, STOPWORDS
 from kindred.operators import evaluate, minhash, neighbours, pairs, text
 from kindred.operators import ratings as rated
+from kindred.plans import content
 from kindred.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,7 +197,7 @@ def _tfidf(spark, sf_dir):
 
 
 def _profiles(spark, sf_dir):
-    businesses = text.business_profiles(_tfidf(spark, sf_dir))
+    businesses = materialize(text.business_profiles(_tfidf(spark, sf_dir)))
     return businesses, text.user_profiles(inputs.reviews(spark, sf_dir), businesses)
 
 
@@ -224,7 +225,7 @@ def tfidf(spark, sf_dir):
 
 
 def business_profiles(spark, sf_dir):
-    return _profiles(spark, sf_dir)[0]
+    return text.business_profiles(_tfidf(spark, sf_dir))
 
 
 def user_profiles(spark, sf_dir):
@@ -237,7 +238,8 @@ def content_model_union(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    businesses, users = text.split_content_model(materialize(text.content_model(*_profiles(spark, sf_dir))))
+    reviews = inputs.reviews(spark, sf_dir)
+    businesses, users = text.split_content_model(materialize(content.train_content_model(reviews, STOPWORDS)))
     return text.content_scores(inputs.content_targets(spark, sf_dir), businesses, users)
 
 

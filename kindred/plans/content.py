@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from kindred.operators import text
+from kindred.session import materialize
 
 
 def train_content_model(
@@ -18,7 +19,8 @@ def train_content_model(
 ) -> DataFrame:
     """(type, biz_id, user_id, fvec) from reviews (user_id, business_id, text)."""
     counts = text.word_counts(reviews, stopwords, newline_as_space=newline_as_space)
-    businesses = text.business_profiles(text.tfidf(counts, reviews), business_words)
+    # Read twice below, and short: at most business_words rows per business.
+    businesses = materialize(text.business_profiles(text.tfidf(counts, reviews), business_words))
     users = text.user_profiles(reviews, businesses, user_words)
     return text.content_model(businesses, users)
 
