@@ -19,15 +19,21 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key is in ``texts`` (_id, _key, new_text), with that text and its length."""
+    """The rows of ``docs`` whose key is in ``texts`` (_id, _key, new_text), with that text and its length.
+
+    A null new text leaves the row as it is.
+    """
     joined = _with_key(docs).join(texts.dropDuplicates(KEY), KEY)
-    return joined.withColumns({"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}).select(*docs.columns)
+    length = F.when(F.col("new_text").isNull(), F.col("n_chars")).otherwise(F.length("new_text"))
+    changed = {"text": F.coalesce("new_text", "text"), "n_chars": length.cast("long")}
+    return joined.withColumns(changed).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, without their failing lines."""
     judged = rules.apply_rules(docs)
-    return _with_text(docs, judged.filter("kept").select(*KEY, F.col("clean_text").alias("new_text")))
+    new = F.when(F.col("n_lost") > 0, F.col("clean_text")).alias("new_text")
+    return _with_text(docs, judged.filter("kept").select(*KEY, new))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated windows; documents that keep no word go."""
     cut = substring.drop_repeats(docs).filter("kept <> ''")
-    return _with_text(docs, cut.select(*KEY, F.col("kept").alias("new_text")))
+    return _with_text(docs, cut.select(*KEY, F.when(F.col("n_removed") > 0, F.col("kept")).alias("new_text")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
