@@ -12,7 +12,8 @@ depth of ``LENGTH`` bytes; the others are induced from them by one scan over the
 bytes. Windows whose adjacent common prefix reaches ``LENGTH`` are equal; all but the first go.
 
 An anchor with more than ``CROWD`` classes, such as the edge of a passage that half of all documents
-share, is not put into one task: its windows are compared by two 64-bit hashes, with a partial step.
+share, is not put into one task. Its windows are compared by two 64-bit hashes, ``STRIDE`` consecutive
+ones at a time, and one by one only within the first of each kind of these. Both have a partial step.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from kindred.llm.tables import KEY, Scratch, keyed
 LENGTH = 100
 SEED = 32
 CROWD = 2048  # classes of one anchor that one task sorts at most
+STRIDE = 8  # consecutive windows of a crowded anchor that are compared at once
 SORTED_BYTES = 1 << 19  # bytes of one suffix array, more only for a single anchor
 
 
@@ -141,7 +143,7 @@ def _seed_batches(length: int, seed: int, full: bool):
     return run
 
 
-_SEGMENTS = "anchor long, _id long, _key int, start long, n int, segment binary, w1 long, w2 long"
+_SEGMENTS = "anchor long, _id long, _key int, start long, n int, segment binary, crowded boolean, w1 long, w2 long"
 
 
 def _segment_batches(length: int, seed: int):
@@ -158,27 +160,50 @@ def _segment_batches(length: int, seed: int):
                 owner, start = B.chosen_by(grams, at, base, texts.offsets[doc + 1] - length, length - seed + 1)
                 order = np.lexsort((start, owner))
                 owner, start = owner[order], start[order]
-                one = ~crowded[owner]
-                head, size = np.unique(owner[one], return_index=True, return_counts=True)[1:]
-                who, begin = owner[one][head], start[one][head]
+                # a segment is all windows of a place, or those of one stride where its anchor is crowded
+                stride = np.where(crowded[owner], (at[owner] - start) // STRIDE, 0)
+                fresh = np.append(True, (np.diff(owner) != 0) | (np.diff(stride) != 0))[: len(owner)]
+                head = np.flatnonzero(fresh)
+                size = np.diff(np.append(head, len(owner)))
+                who, begin = owner[head], start[head]
                 raw = texts.data.tobytes()
                 segments = [raw[b : b + n + length - 1] for b, n in zip(begin.tolist(), size.tolist())]
-                each, alone = owner[~one], start[~one]
-                home = np.concatenate([doc[who], doc[each]])
-                rows = pa.array(texts.first + home)
-                none, rest = len(alone), len(who)
-                w1, w2 = (B.signed(B.Rolling(texts.data, k)(alone, alone + length)) for k in (2, 3))
+                rows = pa.array(texts.first + doc[who])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(B.signed(grams[at[np.concatenate([who, each])]])),
+                        pa.array(B.signed(grams[at[who]])),
                         *[batch.column(k).take(rows) for k in KEY],
-                        pa.array(np.concatenate([begin, alone]) - texts.offsets[home]),
-                        pa.array(np.concatenate([size, np.ones(none, np.int64)]).astype(np.int32)),
-                        pa.array(segments + [None] * none, pa.binary()),
-                        pa.concat_arrays([pa.nulls(rest, pa.int64()), pa.array(w1)]),
-                        pa.concat_arrays([pa.nulls(rest, pa.int64()), pa.array(w2)]),
+                        pa.array(begin - base[who]),
+                        pa.array(size.astype(np.int32)),
+                        pa.array(segments, pa.binary()),
+                        pa.array(crowded[who]),
+                        *[pa.array(B.signed(B.Rolling(texts.data, k)(begin, begin + size + length - 1))) for k in (2, 3)],
                     ],
-                    names=["anchor", *KEY, "start", "n", "segment", "w1", "w2"],
+                    names=["anchor", *KEY, "start", "n", "segment", "crowded", "w1", "w2"],
+                )
+
+    return run
+
+
+def _alone_batches(length: int):
+    """Every window of some segments by itself: its hashes and place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in B.chunks(batch.column("segment")):
+                size = batch.column("n").slice(texts.first, len(texts.offsets) - 1).to_numpy()
+                owner = np.repeat(np.arange(len(size)), size)
+                within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+                low = texts.offsets[owner] + within
+                rows = pa.array(texts.first + owner)
+                start = batch.column("start").take(rows).to_numpy() + within
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[pa.array(B.signed(B.Rolling(texts.data, k)(low, low + length))) for k in (2, 3)],
+                        *[batch.column(k).take(rows) for k in KEY],
+                        pa.array(start),
+                    ],
+                    names=["w1", "w2", *KEY, "start"],
                 )
 
     return run
@@ -280,20 +305,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crow
     segments = scratch.keep(
         docs.select(*KEY, "text").join(places, KEY).mapInArrow(_segment_batches(length, seed), _SEGMENTS)
     )
-    few = segments.filter("segment is not null").select("anchor", *KEY, "start", "n", "segment")
+    few = segments.filter("NOT crowded").select("anchor", *KEY, "start", "n", "segment")
     sorted_out = (
         few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
             _sorted_batches(length), "_id long, _key int, low long, high long"
         )
     )
-    alone = segments.filter("segment is null").select("w1", "w2", *KEY, "start")
-    again = alone.groupBy("w1", "w2").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct(*KEY, "start")).alias("place")
+    place = F.struct(*KEY, "start")
+
+    def later(rows: DataFrame, kinds: DataFrame, n) -> DataFrame:
+        """What the ``n`` windows from each place cover that is not the first of its kind."""
+        kinds = kinds.filter("copies > 1").select("w1", "w2", "place")
+        spans = rows.join(kinds, ["w1", "w2"]).filter(place != F.col("place"))
+        return spans.select(*KEY, F.col("start").alias("low"), (F.col("start") + n + length - 1).alias("high"))
+
+    count = F.count(F.lit(1)).alias("copies")
+    strides = segments.filter("crowded").select("w1", "w2", *KEY, "start", "n", "segment")
+    kinds = scratch.keep(
+        strides.groupBy("w1", "w2").agg(count, F.min(F.struct(*KEY, "start", "n", "segment")).alias("first")).select(
+            "w1", "w2", "copies", "first", F.struct(*[F.col(f"first.{c}") for c in (*KEY, "start")]).alias("place")
+        )
+    )
+    alone = scratch.keep(
+        kinds.select("first.*").mapInArrow(_alone_batches(length), "w1 long, w2 long, _id long, _key int, start long")
     )
-    crowds = (
-        alone.join(again.filter("copies > 1"), ["w1", "w2"])
-        .filter(F.struct(*KEY, "start") != F.col("place"))
-        .select(*KEY, F.col("start").alias("low"), (F.col("start") + length).alias("high"))
+    crowds = later(strides.drop("segment"), kinds, F.col("n")).unionByName(
+        later(alone, alone.groupBy("w1", "w2").agg(count, F.min(place).alias("place")), F.lit(1))
     )
     return whole.unionByName(sorted_out).unionByName(crowds)
 
