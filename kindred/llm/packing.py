@@ -19,6 +19,8 @@ up in one. Rounds are written to the shared folder.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,17 +33,19 @@ from kindred.llm import bytesops as B
 from kindred.llm.tables import Scratch, keyed
 
 SEQUENCE = 2048
-MEMO = 200_000  # words whose ids a task remembers
-LONG = 64  # characters from which a word is not remembered
+# How byte-level BPE cuts a text, and the characters on which all versions of Unicode agree here.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = re.compile("[\t\n -~¡-ɏ]*")
+_ENCODERS: dict[str, Encoder] = {}  # of this worker process, by path
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _copy long"
 
 
-class Words:
-    """Ids of texts by a byte-level BPE tokenizer, with the ids of frequent words remembered.
+class Encoder:
+    """Ids of texts by a byte-level BPE tokenizer file.
 
-    Such a tokenizer cuts a text before every space that a visible character follows, whatever else it
-    does there, so a text's ids are those of the parts between such places, one behind the other.
+    Where the file says nothing else than such a tokenizer with merges in the order of their ids, the same
+    vocabulary goes to a faster encoder for texts of plain characters. All other texts go to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -49,41 +53,50 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _parts(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        out = [parts[0]]
-        for part in parts[1:]:
-            if part and ("!" <= part[0] <= "~" or "¡" <= part[0] <= "ɏ"):
-                out.append(f" {part}")
-            else:
-                out[-1] += f" {part}"
-        return out
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.fast = self._fast(spec)
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
+
+    @staticmethod
+    def _fast(spec: dict):
+        import tiktoken
+
+        model, cut = spec["model"], spec["pre_tokenizer"] or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        vocabulary = {p: i for p, i in model["vocab"].items() if i < 256 + len(merges)}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        if not plain or spec["normalizer"] or [vocabulary.get("".join(m)) for m in merges] != list(range(256, 256 + len(merges))):
+            return None
+        # a byte is written as its own character where that is visible, else as the next one from U+0100 on
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in visible]
+        byte_of = {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
+        ranks = {bytes(byte_of[c] for c in piece): i for piece, i in vocabulary.items()}
+        return tiktoken.Encoding("byte_bpe", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        parts = [self._parts(t) for t in texts]
-        fresh = list({p for ps in parts for p in ps if p not in self.known})
-        if len(self.known) + len(fresh) > MEMO:
-            self.known = {}
-            fresh = list({p for ps in parts for p in ps})
-        found = self.tokenizer.encode_batch(fresh, add_special_tokens=False)
-        ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(fresh, found)}
-        out = [b"".join([ids[p] if p in ids else self.known[p] for p in ps]) for ps in parts]
-        self.known |= {p: x for p, x in ids.items() if len(p) < LONG}
-        return out
+        plain = [self.fast is not None and PLAIN.fullmatch(t) is not None for t in texts]
+        others = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        ids = [self.fast.encode_ordinary(t) if p else next(others).ids for t, p in zip(texts, plain)]
+        return [np.array(i, "<u4").tobytes() for i in ids]
 
 
 def _piece_batches(path: str, sequence: int, end: int, want_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        encoder = Encoder.of(path)
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             for texts in B.chunks(batch.column("text")):
                 raw = texts.data.tobytes()
                 cuts = texts.offsets.tolist()
-                encoded = words.encode([raw[a:b].decode() for a, b in zip(cuts, cuts[1:])])
+                encoded = encoder.encode([raw[a:b].decode() for a, b in zip(cuts, cuts[1:])])
                 rows: list[tuple] = []
                 for i, ids in enumerate(encoded):
                     ids += tail
