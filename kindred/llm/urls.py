@@ -40,6 +40,7 @@ ROUNDS = 8
 DAMPING = 85  # percent of a host's mass that goes on along its edges
 THRESHOLD = 7_500_000  # of distrust over trust: half of what a host keeps that is blocked as a whole
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPREAD = 16  # tasks that the pages of one host meet its verdict in
 LINK = r"""(?i)href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
 
 
@@ -128,7 +129,10 @@ def judge(
         .filter(F.col("distrust") > threshold)
         .select("host", F.lit(True).alias("distrusted"))
     )
-    return parts.join(against, "host", "left").select(
+    # one host may have a third of all pages: they are dealt out, and the verdicts of hosts, far fewer, copied
+    against = against.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    dealt = parts.withColumn("part", F.pmod(F.xxhash64("page_id", "path"), F.lit(SPREAD)).cast("int"))
+    return dealt.join(against, ["host", "part"], "left").select(
         "page_id",
         "host",
         "path",
