@@ -9,8 +9,8 @@ fallback. The encoding is the path of least weight from start to end in the trop
   merging the characters of a and b by rank gives just a and b, and is infinite otherwise. Exactly one
   path is finite, the one that merging by rank finds for the whole text.
 
-Pieces never hold a mark behind another character, so no path spans the boundary before a mark: a text is
-composed part by part, and a task remembers the paths of frequent parts. Nothing is shuffled.
+A text is composed part by part, cut at places that no piece spans, and a worker remembers the paths of
+recent parts. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -28,9 +28,11 @@ from kindred.llm import bytesops as B
 from kindred.llm.tables import keyed
 
 MARK = "▁"
-MEMO = 200_000  # parts a task remembers, and as many pairs of pieces
+MEMO = 200_000  # parts a worker remembers the paths of, up to twice as many, and as many pairs of pieces
+PUNCTUATION = ".,;:!?#*$%&|"
 LONG = 48  # characters from which a part is not remembered
 INFINITE = float("inf")
+_TRANSDUCERS: dict[str, Transducer] = {}
 # Fixed values of the model format: kinds of pieces, kinds of models, and the weight of an unknown character.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BPE = 1, 2
@@ -58,21 +60,45 @@ class Transducer:
         self.out = [p.piece.replace(MARK, " ").encode() if p.type == NORMAL else b"" for p in proto.pieces]
         for value, i in self.bytes.items():
             self.out[i] = bytes([value])
-        self.longest = max(map(len, self.ids))
-        self.split = not any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.reach: dict[str, int] = {}  # length of the longest piece with these two last characters
+        for piece in self.ids:
+            end = piece[-2:]
+            self.reach[end] = max(self.reach.get(end, 1), len(piece))
+        self.cut = self._safe_cut()
+        self.fits: dict[tuple[str, str], float] = {}
+        self.alone: dict[str, tuple[list[tuple[float, str, str]], bool]] = {}
         self.paths: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Transducer:
+        """The transducer of a model file, one for each worker process."""
+        if path not in _TRANSDUCERS:
+            with open(path, "rb") as file:
+                _TRANSDUCERS[path] = cls(file.read())
+        return _TRANSDUCERS[path]
 
     def normalise(self, text: str) -> str:
         text = text.replace(" ", MARK)
         return MARK + text if self.prefix and text else text
 
+    def _safe_cut(self) -> re.Pattern | None:
+        """Where a text may be taken apart: at places that no piece spans.
+
+        Before a mark for spaces behind another character, and between a letter and punctuation.
+        """
+        if any(MARK in p.lstrip(MARK) for p in self.ids):
+            return None
+        spans = re.compile(f"[^\\W\\d_](?=[{PUNCTUATION}])")
+        joined = re.escape("".join({c for p in self.ids for c in spans.findall(p)}) or "\0")
+        return re.compile(f"(?<=[^{MARK}])(?={MARK})|(?<=[^\\W\\d_])(?<![{joined}])(?=[{PUNCTUATION}])")
+
     def parts(self, text: str) -> list[str]:
-        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text) if self.split else [text] * bool(text)
+        return [p for p in self.cut.split(text) if p] if self.cut else [text] * bool(text)
 
-    def _merged(self, text: str, boundary: int) -> bool:
-        """Whether merging by rank leaves the pieces before and behind ``boundary`` (0: one piece)."""
-        symbols = list(text)
+    def _merges(self, text: str) -> tuple[list[tuple[float, str, str]], list[str]]:
+        """Merging ``text`` by rank alone: each merge's score and the first and last symbol after it; what is left."""
+        symbols, steps = list(text), []
         while True:
             best, at = None, -1
             for i in range(len(symbols) - 1):
@@ -80,39 +106,76 @@ class Transducer:
                 if score is not None and (best is None or score > best):
                     best, at = score, i
             if best is None:
-                break
+                return steps, symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return len(symbols) == 1 if boundary == 0 else len(symbols) == 2 and len(symbols[0]) == boundary
+            steps.append((best, symbols[0], symbols[-1]))
 
-    def _weight(self, before: str | None, piece: str) -> float:
-        """Of an arc, after the piece that leads to its start (None: the start of the text)."""
-        if not self.bpe:
-            return -self.scores[piece] if piece in self.scores else self.unknown_weight
-        known = self.fits.get((before or "", piece))
+    def _alone(self, piece: str) -> tuple[list[tuple[float, str, str]], bool]:
+        """The merges of a piece, and whether they end in the piece."""
+        known = self.alone.get(piece)
         if known is None:
-            if len(self.fits) >= MEMO:
-                self.fits = {}
-            known = self._merged((before or "") + piece, len(before or ""))
-            self.fits[before or "", piece] = known
-        return 0.0 if known else INFINITE
+            if len(self.alone) >= MEMO:
+                self.alone = {}
+            steps, left = self._merges(piece)
+            known = self.alone[piece] = steps, len(left) == 1
+        return known
+
+    def _stay_apart(self, one: str, two: str) -> bool:
+        """Whether merging ``one + two`` by rank gives just these: no merge across is ever the next one.
+
+        Until one is, both sides merge as they do alone, the better one first and the left one in a tie.
+        """
+        (left, left_whole), (right, right_whole) = self._alone(one), self._alone(two)
+        if not (left_whole and right_whole):
+            return False
+        i, j, x, y = 0, 0, one[-1], two[0]
+        across = self.scores.get(x + y, -INFINITE)
+        while True:
+            next_left = left[i][0] if i < len(left) else -INFINITE
+            next_right = right[j][0] if j < len(right) else -INFINITE
+            if across > next_left and across >= next_right and across > -INFINITE:
+                return False
+            if i == len(left) and j == len(right):
+                return True
+            if i < len(left) and next_left >= next_right:
+                x, i = left[i][2], i + 1
+            else:
+                y, j = right[j][1], j + 1
+            across = self.scores.get(x + y, -INFINITE)
+
+    def _weight(self, before: str, piece: str) -> float:
+        """Of an arc in a BPE model, after the piece that leads to its start (empty: the start of the text)."""
+        if len(self.fits) >= MEMO:
+            self.fits = {}
+        known = self._stay_apart(before, piece) if before else self._alone(piece)[1]
+        self.fits[before, piece] = weight = 0.0 if known else INFINITE
+        return weight
 
     def shortest(self, text: str) -> list[str]:
         """Pieces of the path of least weight; characters without a piece stand for themselves.
 
-        Of each place the best way in is kept. In a BPE model only one way in is finite.
+        Of each place the best way in is kept. In a BPE model the first finite way in is the only one.
         """
         weight = [0.0] + [INFINITE] * len(text)
-        last: list[str | None] = [None] * (len(text) + 1)
+        last = [""] * (len(text) + 1)
+        ids, bpe = self.ids, self.bpe
         for end in range(1, len(text) + 1):
-            for start in range(max(0, end - self.longest), end):
+            reach = self.reach.get(text[end - 2 : end] if end > 1 else text[0], 1)
+            for start in range(end - reach if end > reach else 0, end):
                 piece = text[start:end]
-                if weight[start] == INFINITE or not (piece in self.ids or end - start == 1):
+                if piece not in ids and end - start > 1:
                     continue
-                total = weight[start] + self._weight(last[start], piece)
-                if total < weight[end]:
-                    weight[end], last[end] = total, piece
-                    if self.bpe:
+                if bpe:
+                    arc = self.fits.get((last[start], piece))
+                    if arc is None:
+                        arc = self._weight(last[start], piece)
+                    if arc == 0.0:
+                        weight[end], last[end] = 0.0, piece
                         break
+                else:
+                    total = weight[start] - self.scores.get(piece, -self.unknown_weight)
+                    if total < weight[end]:
+                        weight[end], last[end] = total, piece
         pieces, at = [], len(text)
         while at:
             pieces.append(last[at])
@@ -127,17 +190,17 @@ class Transducer:
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        out = []
-        for part in self.parts(self.normalise(text)):
-            ids = self.paths.get(part)
-            if ids is None:
-                ids = self._ids(part)
-                if len(part) < LONG:
-                    if len(self.paths) >= MEMO:
-                        self.paths = {}
-                    self.paths[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        parts = self.parts(self.normalise(text))
+        if len(self.paths) > MEMO:  # forget what has not come up since the last time
+            self.paths, self.older = {}, self.paths
+        new = {p for p in parts if p not in self.paths}
+        for part in new:
+            self.paths[part] = self.older[part] if part in self.older else self._ids(part)
+        out = b"".join(map(self.paths.__getitem__, parts))
+        for part in new:
+            if len(part) >= LONG:
+                del self.paths[part]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no characters become replacement characters."""
@@ -147,8 +210,7 @@ class Transducer:
 
 def _encode_batches(path: str, want: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, "rb") as file:
-            transducer = Transducer(file.read())
+        transducer = Transducer.of(path)
         for batch in batches:
             for texts in B.chunks(batch.column("text")):
                 raw, cuts = texts.data.tobytes(), texts.offsets.tolist()
@@ -184,8 +246,7 @@ def encode(docs: DataFrame, path: str, want_ids: bool = True) -> DataFrame:
 
 def _decode_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, "rb") as file:
-            transducer = Transducer(file.read())
+        transducer = Transducer.of(path)
         for batch in batches:
             lists = batch.column("ids").to_pylist()
             texts = [transducer.decode(np.array(x or [], "<u4").tobytes()) for x in lists]
