@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.session import shared_folder
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -39,10 +41,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        self.spark, self.root, self.paths = spark, f"{folder}/llm-{uuid.uuid4().hex}", {}
+        self.spark, self.root, self.paths = spark, f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}", {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and go on from there; the shuffle files behind it are dropped at once."""
