@@ -21,10 +21,6 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(value):
-    return None if value != value else value
-
-
 def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs in columns, types of columns or rows; None if nothing does."""
     expected = con.sql(sql).to_arrow_table()

@@ -231,8 +231,8 @@ SELECT *, round(n_hits / n_found, 6) AS precision, round(n_hits / n_truth, 6) AS
     "user_cf_model_lsh": f"""{_LATEST}, {_family('fam', USER_FAMILY)},
 {_signatures('sig', 'user_id', 'business_id', 'fam')}, {_meetings('met', 'sig', 'user_id')}, {_user_model('latest')}
 SELECT k1 AS u1, k2 AS u2, sim FROM model JOIN met ON a = k1 AND b = k2""",
-    "item_cf_model": f"{_ITEM_MODEL} SELECT k1 AS b1, k2 AS b2, sim FROM model",
-    "user_cf_model_exact": f"{_USER_MODEL} SELECT k1 AS u1, k2 AS u2, sim FROM model",
+    "item_cf_model": f"{_MOMENTS}, {_pearson('sims', 'moments')} SELECT a AS b1, b AS b2, sim FROM sims WHERE sim > 0",
+    "user_cf_model_exact": f"{_LATEST}, {_user_model('latest')} SELECT k1 AS u1, k2 AS u2, sim FROM model",
     "item_cf_predict": f"{_ITEM_PREDICT} SELECT user_id, business_id, round(stars, 6) AS stars FROM predictions",
     "user_cf_predict": f"{_USER_PREDICT} SELECT user_id, business_id, round(stars, 6) AS stars FROM predictions",
     "item_cf_rmse": f"{_ITEM_PREDICT} {_RMSE}",

@@ -150,11 +150,11 @@ def user_cf_model_lsh(spark, sf_dir):
 
 
 def item_cf_model(spark, sf_dir):
-    return neighbours.item_cf_model(inputs.train(spark, sf_dir), ORDER)
+    return neighbours.item_cf_model(inputs.ratings(spark, sf_dir), ORDER)
 
 
 def user_cf_model_exact(spark, sf_dir):
-    return neighbours.user_cf_model_exact(inputs.train(spark, sf_dir), ORDER)
+    return neighbours.user_cf_model_exact(inputs.ratings(spark, sf_dir), ORDER)
 
 
 def _item_predictions(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections.abc import Sequence
@@ -16,7 +17,6 @@ from kindred.operators.skew import count_by, salted_join, spread_join
 # The hash primes, the ranges of the hash coefficients a and b (the upper bounds grow
 # by COEFFICIENT_STEP with each further hash), and the signature lengths.
 PRIME = 10**9 + 7
-MERSENNE_PRIME = 2147483647
 A_RANGE = (900_000_017, 900_000_040)
 B_RANGE = (900_030_697, 1_105_876_108)
 COEFFICIENT_STEP = 10_000_000
@@ -25,8 +25,7 @@ USER_HASHES = 70
 
 _HASHES_PER_GROUP = 10
 _SIGNATURE_COPIES = 8
-_MAX_RANGES = 1024
-_SAMPLE_PER_RANGE = 64
+_SAMPLE_PER_RANGE = 16
 
 
 def hash_family(
@@ -52,29 +51,22 @@ def encode_ids(df: DataFrame, column: str, rows_per_range: int = 1_000_000) -> D
 def _dense_ids(df: DataFrame, column: str, rows_per_range: int = 1_000_000) -> tuple[DataFrame, int]:
     """The ids are cut into value ranges, numbered within a range, and shifted by the ranges below.
 
-    The cuts come from a bounded sample and only balance the work: any cuts give the same numbers,
-    so a recomputed task cannot disagree with its siblings.
+    There are at least as many ranges as cores, and more with more ids. The cuts come from a sample of a
+    few ids for each range and only balance the work: any cuts give the same numbers, so a recomputed
+    task cannot disagree with its siblings. The driver reads the sample and one count for each range.
     """
     ids = df.select(column).filter(F.col(column).isNotNull()).distinct()
     n = ids.count()
-    ranges = min(_MAX_RANGES, math.ceil(n / rows_per_range)) if n else 1
-    cuts: list = []
-    if ranges > 1:
-        sample = ids.orderBy(F.xxhash64(column), column).limit(_SAMPLE_PER_RANGE * ranges).collect()
-        values = sorted(r[0] for r in sample)
-        cuts = values[_SAMPLE_PER_RANGE // 2 :: _SAMPLE_PER_RANGE]
-    if not cuts:  # at most rows_per_range ids
-        position = F.row_number().over(Window.orderBy(column)) - 1
-        return ids.select(column, position.cast("long").alias("idx")), n
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column)))
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / rows_per_range))
+    sample = ids.orderBy(F.xxhash64(column), column).limit(_SAMPLE_PER_RANGE * ranges).collect()
+    cuts = sorted(r[0] for r in sample)[_SAMPLE_PER_RANGE // 2 :: _SAMPLE_PER_RANGE]
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column))) if cuts else F.lit(0)
     ranged = ids.withColumn("_range", part)
-    # One row per range, at most _MAX_RANGES + 1.
-    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = count_by(ranged, "_range").select("_range", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("_start"))
+    sizes = {r._range: r.n for r in count_by(ranged, "_range").collect()}
+    starts = list(itertools.accumulate([0] + [sizes.get(i, 0) for i in range(len(cuts))]))
+    start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("_range") + 1)
     position = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
-    coded = ranged.join(F.broadcast(starts), "_range").select(
-        column, (F.col("_start") + position).cast("long").alias("idx")
-    )
+    coded = ranged.select(column, (start + position).cast("long").alias("idx"))
     return coded, n
 
 

@@ -82,13 +82,6 @@ def user_cf_model_lsh(
     return met.select(F.col("a").alias("u1"), F.col("b").alias("u2"), "sim")
 
 
-def ordered_model(model: DataFrame, left: str, right: str) -> DataFrame:
-    """The model with its pairs in ascending order, whatever order they were stored in."""
-    return model.select(
-        F.least(left, right).alias(left), F.greatest(left, right).alias(right), F.col("sim").cast("double").alias("sim")
-    )
-
-
 def _neighbour_rows(
     targets: DataFrame,
     known: DataFrame,

@@ -181,7 +181,7 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
     The rarest ``width`` shared hot elements key a match. They stand among the first
     ``held - needed + width`` entries of both masks, as ``needed`` entries are shared.
     """
-    width = min(max(min_overlap, 1), 3)
+    width = 1  # wider keys make more of them than they keep apart
     needed = F.lit(max(min_overlap, width))
     label = ["mask"]
     if min_jaccard > 0:

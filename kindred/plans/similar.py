@@ -14,7 +14,7 @@ from kindred.operators.ratings import entity_members
 def similar_businesses(
     reviews: DataFrame,
     threshold: float = 0.05,
-    method: str = "lsh",
+    method: str = "exact",
     family: Sequence[tuple[int, int]] | None = None,
     rows_per_band: int = 1,
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,10 +24,10 @@ def get_session(master: str | None = None, app: str = "kindred", shuffle_partiti
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local session may go without."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; only a single local process may go without."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -47,16 +47,19 @@ def read_reviews(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] = ("user_id", "business_id", "stars", "text"),
-    on_bad: str = "drop",
+    on_bad: str = "fail",
 ) -> DataFrame:
-    """Reviews, one JSON object per line. Only ``columns`` are parsed."""
+    """Reviews, one JSON object per line. Only ``columns`` are parsed, and only the two ids must be there.
+
+    A review without stars or text stays, as not every use looks at them; ``cf_train`` refuses null stars.
+    """
     schema = T.StructType([f for f in REVIEWS.fields if f.name in columns])
-    keys = [c for c in ("user_id", "business_id", "stars") if c in columns]
+    keys = [c for c in ("user_id", "business_id") if c in columns]
     return _read(spark, path, schema, keys, on_bad, "json")
 
 
 def count_bad_reviews(
-    spark: SparkSession, path: str, columns: Sequence[str] = ("user_id", "business_id", "stars")
+    spark: SparkSession, path: str, columns: Sequence[str] = ("user_id", "business_id")
 ) -> DataFrame:
     """(n_rows, n_bad): how many lines lack a key or do not parse; what "drop" leaves out."""
     schema = T.StructType([f for f in REVIEWS.fields if f.name in columns])
@@ -74,7 +77,7 @@ def read_test_pairs(spark: SparkSession, path: str, on_bad: str = "drop") -> Dat
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """One word per line, trimmed at both ends."""
-    return spark.read.text(path).select(F.trim(F.regexp_replace("value", r"\s+$", "")).alias("word")).distinct()
+    return spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("word")).distinct()
 
 
 def read_cf_model(spark: SparkSession, path: str, left: str = "b1", right: str = "b2", fmt: str = "json") -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from kindred.operators import text
 from kindred.session import materialize
+from kindred.plans.collaborative import cf_train
 from kindred.sources import json_lines as io
 from tests.conftest import rows
 
@@ -28,7 +29,8 @@ def test_reviews(spark, tmp_path):
 def test_bad_rows_are_dropped_counted_or_fatal(spark, tmp_path):
     lines = [json.dumps(REVIEWS[0]), "{not json", json.dumps({"user_id": "u3", "stars": 1})]
     path = write_lines(tmp_path / "bad.json", lines)
-    assert io.read_reviews(spark, path).count() == 1
+    assert io.read_reviews(spark, path, on_bad="drop").count() == 1
+    assert rows(io.read_reviews(spark, path, ["user_id"], on_bad="drop")) == [("u1",), ("u3",)]
     assert rows(io.count_bad_reviews(spark, path)) == [(3, 2)]
     with pytest.raises(Exception, match="(?i)malformed|parse"):
         io.read_reviews(spark, path, on_bad="fail").collect()
@@ -39,6 +41,14 @@ def test_bad_rows_are_dropped_counted_or_fatal(spark, tmp_path):
         io.read_reviews(spark, path, on_bad="ignore")
 
 
+def test_a_review_without_stars_stays(spark, tmp_path):
+    line = json.dumps({"user_id": "u3", "business_id": "b3", "text": "fine"})
+    reviews = io.read_reviews(spark, write_lines(tmp_path / "s.json", [json.dumps(REVIEWS[0]), line]))
+    assert reviews.count() == 2
+    with pytest.raises(Exception, match="without stars"):
+        cf_train(reviews, "item_based").collect()
+
+
 def test_test_pairs_keep_repeats(spark, tmp_path):
     pair = json.dumps({"user_id": "u", "business_id": "b", "stars": 3})
     path = write_lines(tmp_path / "t.json", [pair, pair])
