@@ -31,7 +31,7 @@ from kindred.llm.tables import KEY, Scratch, keyed
 BUCKETS = 1 << 16
 CHOSEN = 256
 SAMPLE = 20_000  # labelled rows that the regression is fitted on
-HOLD = 1.0  # squared weights are held down by half of this
+HOLD = 0.3  # squared weights are held down by half of this
 KEEP = 0.5
 
 _LOWER = np.arange(256, dtype=np.uint8) + 32 * B.table(spans=((0x41, 0x5A),)).astype(np.uint8)
