@@ -3,13 +3,14 @@
 Input is the long form of sets: one row per (entity, element), optionally with a number such as
 stars. A pair is found through the elements it shares, never by comparing all entities:
 
-* *Light* elements, each in a bounded number of sets, are self-joined and counted per pair. Their
-  rows carry the moments of the numbers, so no second look at the sets is needed.
+* *Light* elements are self-joined and counted per pair. Their rows carry the moments of the numbers,
+  so no second look at the sets is needed. One in d sets costs about d * d / 2 pair rows; d is bounded
+  by ``hot_floor`` only while at most ``HOT_KEYS`` elements exceed that.
 * *Hot* elements (at most ``HOT_KEYS`` = 64, the most frequent ones above ``hot_floor``) are never
   self-joined by themselves. Every entity holds them as a bit mask, whose overlap is added to the
   pairs found through light elements. A pair that qualifies by hot elements alone is found by
-  matching classes of equal masks, keyed by up to three shared hot elements, and only pairs that
-  do reach the thresholds are written out, each exactly once.
+  matching classes of equal masks, keyed by one shared hot element, and only pairs that do reach
+  the thresholds are written out, each exactly once.
 
 The result is complete for any skew: nothing is dropped, capped or sampled.
 """
