@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import classifier, jaccard, packing, rules, substring
-from kindred.llm.tables import FIRST, KEY, Scratch, table
+from kindred.llm.tables import FIRST, KEY, Scratch, table, text_key
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
     """The documents as they are, with the operators' key of each row."""
-    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)), "_key": F.hash("text")})
+    key = text_key(F.col("text").cast("string"))
+    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)), "_key": key})
 
 
 def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import bytesops as B
 from kindred.llm.rules import SYMBOLS
-from kindred.llm.tables import KEY, Scratch, keyed
+from kindred.llm.tables import KEY, KEY_SCHEMA, Scratch, keyed
 
 BUCKETS = 1 << 16
 CHOSEN = 256
@@ -123,7 +123,7 @@ def featurise(docs: DataFrame, scratch: Scratch, host: Column | None = None, pat
     path = F.coalesce(F.nullif(F.split_part("source", F.lit("/"), F.lit(2)), F.lit("")), F.col("lang")) if path is None else path
     sited = docs.select("doc_id", "text", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     read = keyed(sited.select("doc_id", "text", "host", "path"), "host", "path")
-    schema = "doc_id long, _id long, _key int, host string, path string, features binary"
+    schema = f"doc_id long, {KEY_SCHEMA}, host string, path string, features binary"
     return scratch.keep(read.mapInArrow(_feature_batches, schema))
 
 
@@ -172,7 +172,8 @@ def fit(train: DataFrame, chosen: int = CHOSEN, sample: int = SAMPLE, hold: floa
     buckets = np.sort(np.argsort(-apart, kind="stable")[:chosen])
     buckets = buckets[apart[buckets] > 0]
     if 0 < n_good < n:
-        turned = train.select("features", "good", F.xxhash64(*KEY).alias("turn"))
+        order = (F.conv(F.hex(F.substring("_key", 1, 4)), 16, 10).cast("long") - (1 << 31)).cast("int")
+        turned = train.select("features", "good", F.xxhash64("_id", order).alias("turn"))
         bits = turned.mapInArrow(_bit_batches(buckets), "bits binary, good int, turn long")
         rows = bits.orderBy("turn", "bits", "good").limit(sample).collect()
         x = np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
@@ -227,7 +228,7 @@ def classify(
     hosts, sites = site_posteriors(train, model.share)
     columns = ["doc_id", *KEY, "host", "path"]
     scored = features.mapInArrow(
-        _score_batches(model, columns), "doc_id long, _id long, _key int, host string, path string, evidence double"
+        _score_batches(model, columns), f"doc_id long, {KEY_SCHEMA}, host string, path string, evidence double"
     )
     share = F.coalesce("site_share", "host_share", F.lit(model.share))
     odds = F.col("evidence") + F.log(share / (1 - share)) - float(np.log(model.share / (1 - model.share)))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import bytesops as B
 from kindred.llm.components import components
-from kindred.llm.tables import KEY, Scratch, keyed
+from kindred.llm.tables import KEY, KEY_SCHEMA, Scratch, keyed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -93,7 +93,7 @@ def _shingle_sets(texts: B.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(doc, np.arange(len(n) + 1))
 
 
-_SIGNED = "_id long, _key int, n_shingles int, s1 long, s2 long, signature binary"
+_SIGNED = f"{KEY_SCHEMA}, n_shingles int, s1 long, s2 long, signature binary"
 
 
 def _signature_batches(size: int, n_hashes: int):

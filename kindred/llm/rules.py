@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kindred.llm import bytesops as B
-from kindred.llm.tables import keyed
+from kindred.llm.tables import KEY_SCHEMA, keyed
 
 MIN_WORDS = 10
 MAX_REPEATED = 20  # percent of words in repeated windows
@@ -173,5 +173,5 @@ def apply_rules(
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS) + ", base_failed boolean, kept boolean"
     return keyed(docs).mapInArrow(
         _batches(min_words, max_repeated, max_lost, kept_text),
-        schema + ", _id long, _key int, clean_text string" * kept_text,
+        schema + f", {KEY_SCHEMA}, clean_text string" * kept_text,
     )

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm import bytesops as B
-from kindred.llm.tables import KEY, Scratch, keyed
+from kindred.llm.tables import KEY, KEY_SCHEMA, Scratch, keyed
 
 WINDOW = 35
 SEED = 10
@@ -111,7 +111,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     anchors = docs.select("text").mapInArrow(_seed_batches(window, seed, False), "anchor long")
     shared = scratch.keep(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     seeds = docs.select(*KEY, "text").mapInArrow(
-        _seed_batches(window, seed, True), "anchor long, around long, _id long, _key int, at int"
+        _seed_batches(window, seed, True), f"anchor long, around long, {KEY_SCHEMA}, at int"
     )
     seeds = scratch.keep(seeds.join(shared, "anchor", "left_semi"))
     scratch.drop(shared)
@@ -133,7 +133,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     windows = scratch.keep(
         docs.select(*KEY, "text")
         .join(places, KEY)
-        .mapInArrow(_window_batches(window, seed), "w1 long, w2 long, _id long, _key int, low int")
+        .mapInArrow(_window_batches(window, seed), f"w1 long, w2 long, {KEY_SCHEMA}, low int")
     )
     again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
     found = windows.join(again, ["w1", "w2"], "left_semi")
@@ -183,4 +183,4 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, kept_t
     spans = repeated_spans(docs, window, seed).groupBy(*KEY).agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     cut = docs.join(spans, KEY, "left").select("doc_id", *KEY, "text", "spans")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return cut.mapInArrow(_cut_batches(kept_text), schema + ", _id long, _key int, kept string" * kept_text)
+    return cut.mapInArrow(_cut_batches(kept_text), schema + f", {KEY_SCHEMA}, kept string" * kept_text)

@@ -23,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm import bytesops as B
-from kindred.llm.tables import KEY, Scratch, keyed
+from kindred.llm.tables import KEY, KEY_SCHEMA, Scratch, keyed
 
 LENGTH = 100
 SEED = 32
@@ -143,7 +144,7 @@ def _seed_batches(length: int, seed: int, full: bool):
     return run
 
 
-_SEGMENTS = "anchor long, _id long, _key int, start long, n int, segment binary, crowded boolean, w1 long, w2 long"
+_SEGMENTS = f"anchor long, {KEY_SCHEMA}, start long, n int, segment binary, crowded boolean, w1 long, w2 long"
 
 
 def _segment_batches(length: int, seed: int):
@@ -214,7 +215,9 @@ def _repeats(part: pa.Table, length: int) -> pa.RecordBatch:
     segments = part.column("segment").combine_chunks().cast(pa.large_binary())
     texts = next(B.chunks(segments, 1 << 62))
     size = part.column("n").to_numpy()
-    ids, keys, begin = (part.column(k).to_numpy() for k in (*KEY, "start"))
+    ids, begin = (part.column(k).to_numpy() for k in ("_id", "start"))
+    key = part.column("_key").combine_chunks()
+    keys = pc.rank(key, tiebreaker="dense").to_numpy()
     owner = np.repeat(np.arange(len(size)), size)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
     window_at = np.full(len(texts.data), -1, np.int64)
@@ -233,7 +236,7 @@ def _repeats(part: pa.Table, length: int) -> pa.RecordBatch:
     head = np.flatnonzero(np.append(True, ~joined)) if len(home) else home
     tail = np.append(head[1:], len(home)) - 1 if len(home) else home
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[home[head]]), pa.array(keys[home[head]]), pa.array(start[head]), pa.array(start[tail] + length)],
+        [pa.array(ids[home[head]]), key.take(pa.array(home[head])), pa.array(start[head]), pa.array(start[tail] + length)],
         names=[*KEY, "low", "high"],
     )
 
@@ -270,14 +273,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crow
     """Byte ranges [low, high) of ``keyed`` documents covered by windows that also start earlier.
 
     Columns _id, _key, low, high; ranges may overlap. Earlier is a smaller id (null first), then,
-    for different texts under one id, a smaller text hash, then an earlier start. Copies of one row
+    for different texts under one id, a smaller text key, then an earlier start. Copies of one row
     are one document here. Texts that are null or shorter than a window give none.
     """
     scratch = Scratch(docs.sparkSession)
     anchors = docs.select("text").mapInArrow(_seed_batches(length, seed, False), "anchor long")
     shared = scratch.keep(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
     seeds = docs.select(*KEY, "text").mapInArrow(
-        _seed_batches(length, seed, True), "anchor long, around long, _id long, _key int, at long"
+        _seed_batches(length, seed, True), f"anchor long, around long, {KEY_SCHEMA}, at long"
     )
     seeds = scratch.keep(seeds.join(shared, "anchor", "left_semi"))
     scratch.drop(shared)
@@ -308,7 +311,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crow
     few = segments.filter("NOT crowded").select("anchor", *KEY, "start", "n", "segment")
     sorted_out = (
         few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-            _sorted_batches(length), "_id long, _key int, low long, high long"
+            _sorted_batches(length), f"{KEY_SCHEMA}, low long, high long"
         )
     )
     place = F.struct(*KEY, "start")
@@ -327,7 +330,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, crow
         )
     )
     alone = scratch.keep(
-        kinds.select("first.*").mapInArrow(_alone_batches(length), "w1 long, w2 long, _id long, _key int, start long")
+        kinds.select("first.*").mapInArrow(_alone_batches(length), f"w1 long, w2 long, {KEY_SCHEMA}, start long")
     )
     crowds = later(strides.drop("segment"), kinds, F.col("n")).unionByName(
         later(alone, alone.groupBy("w1", "w2").agg(count, F.min(place).alias("place")), F.lit(1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.session import shared_folder
@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 FIRST = -(1 << 63)  # stands for a null id inside the operators, and sorts before all others
 
 
+def text_key(text: Column) -> Column:
+    """The key of a text: four bytes in the order of its hash, which orders the texts of one id, and 128 bits of SHA-256.
+
+    A null text has the four bytes alone, so no text shares its key.
+    """
+    order = F.unhex(F.lpad(F.hex(F.hash(text).cast("long") + (1 << 31)), 8, "0"))
+    return F.concat(order, F.coalesce(F.unhex(F.left(F.sha2(text, 256), F.lit(32))), F.lit(b"")))
+
+
 def keyed(docs: DataFrame, *others: str) -> DataFrame:
     """Id and text with the key ``_id``, ``_key`` of a row, whose columns are never null.
 
@@ -26,10 +35,11 @@ def keyed(docs: DataFrame, *others: str) -> DataFrame:
     other than ``others`` are left behind, whatever their names.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
-    return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(FIRST)), "_key": F.hash("text")})
+    return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(FIRST)), "_key": text_key(F.col("text"))})
 
 
 KEY = ["_id", "_key"]
+KEY_SCHEMA = "_id long, _key binary"
 
 
 class Scratch:

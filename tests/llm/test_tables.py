@@ -1,0 +1,51 @@
+"""Two texts under the null id whose 32-bit hashes are equal stay two rows in every operator."""
+
+import hashlib
+
+import corpus_pipeline
+from kindred.llm import jaccard, substring, suffixes
+from kindred.llm.tables import keyed
+from tests.conftest import rows
+from tests.llm.texts import frame
+
+LEFT = " ".join(f"left{i}" for i in range(50))
+RIGHT = " ".join(f"right{i}" for i in range(50))
+ONE, TWO = f"{LEFT} 3212", f"{RIGHT} 306923"
+DOCS = [(None, ONE), (None, TWO)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_keys_differ_where_hashes_are_equal(spark):
+    docs = frame(spark, DOCS + [(None, None), (None, ""), (None, ONE)])
+    assert docs.filter("text <> ''").selectExpr("hash(text) AS h").distinct().count() == 1
+    found = keyed(docs).select("_key", "text").distinct().collect()
+    assert len({bytes(r._key) for r in found}) == len(found) == 4
+
+
+def test_substring_dedup_cuts_only_the_row_that_repeats(spark):
+    got = substring.drop_repeats(frame(spark, DOCS + [(9, f"{LEFT} nine")]))
+    assert sorted(r.kept for r in got.collect()) == sorted(["3212", "nine", TWO])
+
+
+def test_suffix_dedup_cuts_only_the_row_that_repeats(spark):
+    got = suffixes.drop_repeats(frame(spark, DOCS + [(9, f"{RIGHT} nine")]), kept_bytes=False)
+    # the byte after the passage is a blank in both texts
+    assert {r[4] for r in rows(got) if r[0] is None} == {sha(ONE), sha(TWO)}
+    assert {r[2] for r in rows(got) if r[0] == 9} == {len(RIGHT) + 1}
+
+
+def test_jaccard_join_compares_each_text_by_its_own_shingles(spark):
+    got = jaccard.join(frame(spark, DOCS + [(8, f"{LEFT} eight"), (9, f"{RIGHT} nine")])).collect()
+    assert [r.n_links for r in got] == [1] * 4
+    assert len({r.class_id for r in got}) == 2
+
+
+def test_pipeline_keeps_both_texts(spark):
+    docs = frame(spark, DOCS)
+    kept = corpus_pipeline.jaccard_join(spark, docs, "")
+    assert sorted(r.text for r in kept.collect()) == sorted([ONE, TWO])
+    kept = corpus_pipeline.substring_dedup(spark, docs, "")
+    assert sorted(r.text for r in kept.collect()) == sorted([ONE, TWO])
