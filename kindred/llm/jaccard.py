@@ -287,8 +287,8 @@ def block_pairs(members: DataFrame, key: list[str], columns: list[str]) -> DataF
     """All pairs of blocks of a group as rows of two lists, ``list`` and ``others``.
 
     ``members`` has the group's ``key``, its number of blocks ``n_blocks``, the member's ``block`` (from 0)
-    and the columns to list. A block is listed once for each block it meets; where it meets itself,
-    ``others`` is null.
+    and the columns to list. A block is listed once for each block with members that it meets; where it
+    meets itself, ``others`` is null.
     """
     listed = F.struct(*columns).alias("item")
     first = members.select(*key, F.col("block").alias("x"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("y"), listed)
@@ -297,7 +297,9 @@ def block_pairs(members: DataFrame, key: list[str], columns: list[str]) -> DataF
     )
     lists = first.groupBy(*key, "x", "y").agg(F.collect_list("item").alias("list"))
     others = second.groupBy(*key, "x", "y").agg(F.collect_list("item").alias("others"))
-    return lists.join(others, [*key, "x", "y"], "left").select("list", "others")
+    # a block may have no members: a null then stands for nothing to meet, not for the block itself
+    met = lists.join(others, [*key, "x", "y"], "left").filter("x = y OR others IS NOT NULL")
+    return met.select("list", "others")
 
 
 def join(

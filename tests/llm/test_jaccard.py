@@ -70,6 +70,21 @@ def test_empty_table_and_no_links(spark):
     assert sorted((r.doc_id or 0, r.n_links, r.class_id) for r in got) == [(0, 0, FIRST), (1, 0, 1), (2, 0, 2)]
 
 
+def test_more_blocks_than_members(spark, monkeypatch):
+    members = [(1, 3, 0, 10), (1, 3, 0, 11), (2, 4, 1, 12), (2, 4, 2, 13)]
+    pairs = jaccard.block_pairs(spark.createDataFrame(members, "root long, n_blocks int, block int, node long"), ["root"], ["node"])
+    met = [(sorted(x.node for x in r.list), r.others and [x.node for x in r.others]) for r in pairs.collect()]
+    assert sorted(met, key=repr) == [([10, 11], None), ([12], None), ([12], [13]), ([13], None)]
+    # ten families of two, of two blocks each
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 1700)
+    docs = []
+    for i in range(10):
+        words = prose(random.Random(i), 150).split()
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-1], "changed"]))]
+    got = jaccard.join(frame(spark, docs)).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == [(i, 1) for i in range(20)]
+
+
 def test_posterior_floor_is_the_beta_tail():
     rng = np.random.default_rng(1)
     for n, floor in zip((20, 40), jaccard.posterior_floor(0.8, 1e-2, 40, 20)):
