@@ -58,7 +58,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequences and ids."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

@@ -36,7 +36,7 @@ SEQUENCE = 2048
 # How byte-level BPE cuts a text, and the characters on which all versions of Unicode agree here.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = re.compile("[\t\n -~¡-ɏ]*")
-_ENCODERS: dict[str, Encoder] = {}  # of this worker process, by path
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}  # of this worker process
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _copy long"
 
@@ -46,22 +46,29 @@ class Encoder:
 
     Where the file says nothing else than such a tokenizer with merges in the order of their ids, the same
     vocabulary goes to a faster encoder for texts of plain characters. All other texts go to the tokenizer.
+    With ``added`` the strings of the file's added tokens have their ids, as the tokenizer gives them by
+    default; without it they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.fast = self._fast(spec)
+        strings = [t["content"] for t in spec.get("added_tokens") or []] if added else []
+        self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+    def of(cls, path: str, added: bool = False) -> Encoder:
+        if (path, added) not in _ENCODERS:
+            _ENCODERS[path, added] = cls(path, added)
+        return _ENCODERS[path, added]
+
+    def _is_plain(self, text: str) -> bool:
+        return self.fast is not None and PLAIN.fullmatch(text) is not None and not (self.added and self.added.search(text))
 
     @staticmethod
     def _fast(spec: dict):
@@ -82,15 +89,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        plain = [self.fast is not None and PLAIN.fullmatch(t) is not None for t in texts]
+        plain = [self._is_plain(t) for t in texts]
         others = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
         ids = [self.fast.encode_ordinary(t) if p else next(others).ids for t, p in zip(texts, plain)]
         return [np.array(i, "<u4").tobytes() for i in ids]
 
 
-def _piece_batches(path: str, sequence: int, end: int, want_ids: bool):
+def _piece_batches(path: str, sequence: int, end: int, want_ids: bool, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, added)
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             for texts in B.chunks(batch.column("text")):
@@ -120,13 +127,15 @@ def _piece_batches(path: str, sequence: int, end: int, want_ids: bool):
     return run
 
 
-def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end: int = 0, want_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, sequence: int = SEQUENCE, end: int = 0, want_ids: bool = False, added: bool = False
+) -> DataFrame:
     """Pieces of at most ``sequence`` ids of every row: its text's ids and ``end``; only the first may be shorter.
 
     ``_copy`` numbers the rows of the input, so that repeated rows stay apart; it is fixed once written.
     """
     read = keyed(docs).select("doc_id", "text", F.monotonically_increasing_id().alias("_copy"))
-    return read.mapInArrow(_piece_batches(path, sequence, end, want_ids), _PIECES + ", ids array<long>" * want_ids)
+    return read.mapInArrow(_piece_batches(path, sequence, end, want_ids, added), _PIECES + ", ids array<long>" * want_ids)
 
 
 def _levels(events: DataFrame, scratch: Scratch) -> DataFrame:
@@ -227,14 +236,17 @@ def pack(lengths: DataFrame, sequence: int = SEQUENCE, scratch: Scratch | None =
     return out
 
 
-def pack_documents(docs: DataFrame, path: str, sequence: int = SEQUENCE, end: int = 0, want_ids: bool = True) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, sequence: int = SEQUENCE, end: int = 0, want_ids: bool = True, added: bool = False
+) -> DataFrame:
     """All pieces of ``docs`` (doc_id, text) with sequence_id and offset, and their ids if wanted.
 
     Columns doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids). A null text is an
     empty one, which is the id ``end`` alone; ids may be null or repeat; other columns are ignored.
+    With ``added`` the ids are the tokenizer's by default; without it an added token is ordinary text.
     """
     scratch = Scratch(docs.sparkSession)
-    cut = scratch.keep(pieces(docs, path, sequence, end, want_ids).withColumn("id", F.monotonically_increasing_id()))
+    cut = scratch.keep(pieces(docs, path, sequence, end, want_ids, added).withColumn("id", F.monotonically_increasing_id()))
     # written once, so the numbers are fixed from here on
     placed = pack(cut.select("id", "length"), sequence, scratch)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * want_ids

@@ -10,7 +10,7 @@ from kindred.llm.tables import table
 
 def op1_best_fit_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), path, want_ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path, want_ids=False, added=True)
 
 
 def op2_substring_dedup(spark, sf_dir):

@@ -2,11 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import corpus_pipeline
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from kindred.llm import packing
+from kindred.llm import packing, queries
 from tests.conftest import rows
 from tests.llm.texts import documents, frame
 
@@ -75,3 +76,17 @@ def test_pieces_equal_the_tokenizer(spark):
 
 def test_empty_table(spark):
     assert rows(packing.pack_documents(frame(spark, []), PATH, want_ids=False)) == []
+
+
+def test_added_tokens_as_the_unmodified_tokenizer(spark, tmp_path):
+    docs = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "a <|endoftext| > b"), (4, "é 漢 <|endoftext|>c"), (5, None)]
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_best_fit_packing(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    want = []
+    for doc_id, text in docs:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        want.append((doc_id, 0, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    packed = corpus_pipeline.best_fit_packing(spark, frame(spark, docs), "").collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == want
