@@ -45,8 +45,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id, and of repeated rows one."""
-    found = jaccard.join(docs).groupBy("class_id").agg(F.min(F.struct(*KEY)).alias("first")).select("first.*")
+    """One document of each group of near duplicates: that with the smallest id, and of repeated rows one.
+
+    A row without words is near no other, though its class has the number that a group may have too.
+    """
+    alone = F.when(F.col("n_shingles") == 0, F.struct(*KEY))
+    found = jaccard.join(docs).groupBy("class_id", alone).agg(F.min(F.struct(*KEY)).alias("first")).select("first.*")
     return _with_key(docs).join(found, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
 
 
