@@ -7,7 +7,9 @@ by a threshold; a page without a rule gets its host's verdict.
 
 Edges are the absolute links of the pages, once per pair of hosts, and a host is linked with its parent
 host (its name without the first label) if that has pages too. All is integer arithmetic, so sums do not
-depend on their order. Pages are reduced to hosts and pairs of hosts before anything is shuffled twice;
+depend on their order. Rounds go on until what is still to come to all hosts together is at most
+``TOLERANCE``, but for rounding; the SQL of ``oracle`` takes ``ROUNDS`` rounds from the whole seeds instead,
+which is the same only where hosts have no edges, as in the given tables. Pages are reduced to hosts and pairs of hosts before anything is shuffled twice;
 a round moves one row per edge, partially summed, and its join is split by adaptive execution where one
 host has very many edges.
 """
@@ -36,9 +38,11 @@ RULES = [
     Rule("org", "/fr/", "allow"),
 ]
 UNIT = 100_000_000  # mass of a seed all of whose pages are seeds
-ROUNDS = 8
+ROUNDS = 8  # of the SQL
+STEP = 4  # rounds between two looks at the change
 DAMPING = 85  # percent of a host's mass that goes on along its edges
 THRESHOLD = 7_500_000  # of distrust over trust: half of what a host keeps that is blocked as a whole
+TOLERANCE = THRESHOLD // 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPREAD = 16  # tasks that the pages of one host meet its verdict in
 LINK = r"""(?i)href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
@@ -76,11 +80,14 @@ def host_edges(parts: DataFrame, hosts: DataFrame) -> DataFrame:
     return edges.filter("src <> dst AND src <> '' AND dst <> ''").distinct()
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
-    """Mass of each side and host after ``rounds`` rounds; seeds and masses as side, host, mass.
+def propagate(
+    seeds: DataFrame, edges: DataFrame, scratch: Scratch, damping: int = DAMPING, tolerance: int = TOLERANCE
+) -> DataFrame:
+    """Mass of each side and host in the end; seeds and masses as side, host, mass.
 
     Side 0 follows the edges and side 1 goes against them. Each round a host passes ``damping`` percent
-    of its mass on in equal parts, and the seeds give the rest anew.
+    of its mass on in equal parts, and the seeds give the rest anew. The first masses are what the seeds
+    give, so no mass ever falls, and each ``STEP`` rounds add at most damping**STEP of what the last ones did.
     """
     both = edges.select(F.lit(0).alias("side"), F.col("src").alias("host"), F.col("dst").alias("to")).unionByName(
         edges.select(F.lit(1).alias("side"), F.col("dst").alias("host"), F.col("src").alias("to"))
@@ -88,19 +95,23 @@ def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, rounds: int
     degrees = both.groupBy("side", "host").agg(F.count(F.lit(1)).alias("degree"))
     arcs = scratch.keep(both.join(degrees, ["side", "host"]))
     restart = seeds.select("side", "host", F.expr(f"mass * {100 - damping} div 100").alias("mass"))
-    mass = seeds
-    for number in range(1, rounds + 1):
-        passed = arcs.join(mass, ["side", "host"]).select(
-            "side", F.col("to").alias("host"), F.expr(f"(mass div degree) * {damping} div 100").alias("mass")
-        )
-        mass = restart.unionByName(passed).groupBy("side", "host").agg(F.sum("mass").alias("mass"))
-        if number % 4 == 0 and number < rounds:
-            mass = scratch.keep(mass)
-    return mass
+    mass, total, share = restart, restart.agg(F.sum("mass")).first()[0] or 0, damping**STEP
+    while True:
+        before = mass
+        for _ in range(STEP):
+            passed = arcs.join(mass, ["side", "host"]).select(
+                "side", F.col("to").alias("host"), F.expr(f"(mass div degree) * {damping} div 100").alias("mass")
+            )
+            mass = restart.unionByName(passed).groupBy("side", "host").agg(F.sum("mass").alias("mass"))
+        mass = scratch.keep(mass)
+        scratch.drop(before)
+        last, total = total, mass.agg(F.sum("mass")).first()[0] or 0
+        if (total - last) * share <= tolerance * (100**STEP - share):
+            return mass
 
 
 def judge(
-    pages: DataFrame, rules: list[Rule] = RULES, rounds: int = ROUNDS, damping: int = DAMPING, threshold: int = THRESHOLD
+    pages: DataFrame, rules: list[Rule] = RULES, damping: int = DAMPING, threshold: int = THRESHOLD, tolerance: int = TOLERANCE
 ) -> DataFrame:
     """Every row of ``pages`` (page_id, url, html) with host, path, rule and verdict.
 
@@ -122,7 +133,7 @@ def judge(
     seeds = hosts.select(
         "host", F.posexplode(F.array(*[F.expr(f"{UNIT} * {c} div pages") for c in ("allowed", "blocked")])).alias("side", "mass")
     ).filter("mass > 0")
-    mass = propagate(seeds, host_edges(parts, hosts), scratch, rounds, damping)
+    mass = propagate(seeds, host_edges(parts, hosts), scratch, damping, tolerance)
     against = (
         mass.groupBy("host")
         .agg(F.sum(F.when(F.col("side") == 1, F.col("mass")).otherwise(-F.col("mass"))).alias("distrust"))

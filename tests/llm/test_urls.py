@@ -83,6 +83,15 @@ def test_equals_brute_force(spark):
     assert verdicts[3] == "block" and verdicts[4] == "allow" and verdicts[1] == "allow"
 
 
+def test_distrust_fades_along_a_chain(spark):
+    hosts = ["blocked.net"] + [f"c{i}.test" for i in range(1, 13)]
+    chain = [(0, "http://blocked.net/", None)]
+    chain += [(i, f"http://{hosts[i]}/", f'<a href="http://{hosts[i - 1]}/">') for i in range(1, 13)]
+    verdicts = {r[0]: r[4] for r in rows(urls.judge(frame(spark, chain)))}
+    # 15 million times 0.85 to the power of the hops
+    assert verdicts == {i: "block" if 15e6 * 0.85**i > urls.THRESHOLD else "allow" for i in range(13)}
+
+
 def test_no_python_in_the_plan(spark):
     plan = urls.judge(frame(spark, PAGES))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
