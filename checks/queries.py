@@ -121,9 +121,8 @@ def lsh_stats(spark, sf_dir):
 
 
 def lsh_candidate_pairs(spark, sf_dir):
-    shared = pairs.overlap_pairs(_members(spark, sf_dir), "business_id", "user_id", min_overlap=3)
-    met = minhash.with_shared_bands(shared, _signatures(spark, sf_dir), "business_id", minhash.ITEM_HASHES)
-    return met.select(F.col("a").alias("b1"), F.col("b").alias("b2"), "n", "n_bands")
+    # the checking SQL lists pairs of three or more
+    return minhash.lsh_candidate_pairs(_members(spark, sf_dir), min_overlap=3, family=ITEM_FAMILY)
 
 
 def similar_pairs_lsh(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.expressions import linear_hash
-from kindred.operators.pairs import HOT_FLOOR, similar_pairs
+from kindred.operators.pairs import HOT_FLOOR, overlap_pairs, similar_pairs
 from kindred.operators.skew import count_by, salted_join, spread_join
 
 # The hash primes, the ranges of the hash coefficients a and b (the upper bounds grow
@@ -191,6 +191,28 @@ def with_shared_bands(
     )
 
 
+def lsh_candidate_pairs(
+    members: DataFrame,
+    entity: str = "business_id",
+    element: str = "user_id",
+    min_overlap: int = 1,
+    family: Sequence[tuple[int, int]] | None = None,
+    rows_per_band: int = 1,
+    prime: int = PRIME,
+    bucketed: bool = True,
+    hot_floor: int = HOT_FLOOR,
+) -> DataFrame:
+    """(b1 < b2, n, n_bands) of LSH candidates that share ``n`` elements, at least ``min_overlap`` and one.
+
+    Candidates that share no element meet by accident of the hashes and are not listed.
+    """
+    family = hash_family(ITEM_HASHES, seed=1) if family is None else family
+    signatures = minhash_signatures(members, entity, element, family, prime, bucketed)
+    shared = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor)
+    met = with_shared_bands(shared, signatures, entity, len(family), rows_per_band)
+    return met.select(F.col("a").alias("b1"), F.col("b").alias("b2"), "n", "n_bands")
+
+
 def similar_pairs_lsh(
     members: DataFrame,
     entity: str = "business_id",

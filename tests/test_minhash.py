@@ -136,3 +136,18 @@ def test_plan_chooses_the_method(spark):
     assert set(rows(similar_businesses(reviews, 0.1, "lsh"))) <= exact and exact
     with pytest.raises(ValueError):
         similar_businesses(reviews, method="other")
+
+
+def test_candidate_pairs_hold_those_that_share_one_element(spark):
+    sets = {"a": {1, 2, 3, 4}, "b": {1, 2, 3, 5}, "c": {4, 6}, "d": {7, 8}, "e": {1, 2, 9}}
+    sample = [(k, v) for k, vs in sets.items() for v in vs]
+    members = spark.createDataFrame(sample, "business_id string, user_id int")
+    found = {tuple(r)[:3]: r.n_bands for r in minhash.lsh_candidate_pairs(members).collect()}
+    signed = {r.business_id: r.signature for r in minhash.minhash_signatures(members).collect()}
+    want = {}
+    for x in sets:
+        for y in sets:
+            n, met = len(sets[x] & sets[y]), sum(i == j for i, j in zip(signed[x], signed[y]))
+            if x < y and n and met:
+                want[x, y, n] = met
+    assert found == want and min(n for _, _, n in found) == 1
