@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from kindred.llm import classifier, jaccard, licenses, packing, pieces, rules, substring, suffixes, topk, urls
+from kindred.llm import classifier, jaccard, licenses, lloyd, packing, pieces, rules, substring, suffixes, topk, trie, urls
 from kindred.llm.tables import table
 
 
@@ -51,4 +52,16 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return suffixes.drop_repeats(table(spark, sf_dir, "documents"), kept_bytes=False)
 
 
+def op12_vector_codes(spark, sf_dir):
+    rows, codebooks = lloyd.compress(table(spark, sf_dir, "embeddings"))
+    code, digest = F.lower(F.hex("code")).alias("code"), F.lit(lloyd.digest(codebooks)).alias("codebooks_sha256")
+    return lloyd.label_errors(rows).select("vec_id", code, "error", "label_error", digest)
+
+
+def op13_prefix_trie(spark, sf_dir):
+    nodes, ends, _ = trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    digest = F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256")
+    return nodes.join(trie.ends_digest(ends), trie.NODE, "left").drop("x", "y").withColumn("ends_sha256", digest)
+
+
 QUERIES = {f.__name__: f for f in list(globals().values()) if getattr(f, "__name__", "").startswith("op")}
