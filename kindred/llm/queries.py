@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from kindred.llm import classifier, jaccard, licenses, lloyd, packing, pieces, rules, substring, suffixes, topk, trie, urls
+from kindred.llm import classifier, contexts, jaccard, licenses, lloyd, packing, pieces, rules, substring, suffixes, topk, trie, urls
 from kindred.llm.tables import table
 
 
@@ -52,6 +52,10 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return suffixes.drop_repeats(table(spark, sf_dir, "documents"), kept_bytes=False)
 
 
+def op11_language_model(spark, sf_dir):
+    return contexts.score(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark, sf_dir):
     rows, codebooks = lloyd.compress(table(spark, sf_dir, "embeddings"))
     code, digest = F.lower(F.hex("code")).alias("code"), F.lit(lloyd.digest(codebooks)).alias("codebooks_sha256")

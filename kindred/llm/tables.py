@@ -53,13 +53,13 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}", {}
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, **options: str) -> DataFrame:
         """Write ``df`` and go on from there; the shuffle files behind it are dropped at once."""
         path = f"{self.root}/{uuid.uuid4().hex}"
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.options(**options).parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
