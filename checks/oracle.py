@@ -217,7 +217,7 @@ FROM (SELECT DISTINCT user_id FROM ratings)""",
 SELECT band, sum(n)::BIGINT AS n_entities, count(*) AS n_buckets, count(*) FILTER (n = 1) AS n_single,
   max(n) AS largest_bucket, sum(n * (n - 1) // 2)::BIGINT AS n_pairs FROM counts GROUP BY band""",
     "lsh_candidate_pairs": f"""{_FOUND}
-SELECT a AS b1, b AS b2, n, CAST(n_bands AS INTEGER) AS n_bands FROM commons JOIN met USING (a, b) WHERE n >= 3""",
+SELECT a AS b1, b AS b2, coalesce(n, 0) AS n, CAST(n_bands AS INTEGER) AS n_bands FROM met LEFT JOIN commons USING (a, b)""",
     "similar_pairs_lsh": f"{_FOUND} {_EXACT} AND (a, b) IN (SELECT (a, b) FROM met)",
     "similar_pairs_lsh_banded": f"""{_SETS}, {_family('fam', ITEM_FAMILY)},
 {_signatures('sig', 'business_id', 'user_id', 'fam', bucketed=False)}, {OVERLAPS},

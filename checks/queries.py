@@ -121,8 +121,7 @@ def lsh_stats(spark, sf_dir):
 
 
 def lsh_candidate_pairs(spark, sf_dir):
-    # the checking SQL lists pairs of three or more
-    return minhash.lsh_candidate_pairs(_members(spark, sf_dir), min_overlap=3, family=ITEM_FAMILY)
+    return minhash.lsh_candidate_pairs(_members(spark, sf_dir), min_overlap=0, family=ITEM_FAMILY)
 
 
 def similar_pairs_lsh(spark, sf_dir):

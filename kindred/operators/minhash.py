@@ -10,9 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.functions.expressions import linear_hash
-from kindred.operators.pairs import HOT_FLOOR, overlap_pairs, similar_pairs
-from kindred.operators.skew import count_by, salted_join, spread_join
+from kindred.functions.expressions import SIM_DIGITS, jaccard, linear_hash
+from kindred.operators.pairs import EPS, HOT_FLOOR, block_columns, group_pairs, looked_up, overlap_pairs, reaches, similar_pairs, with_sizes
+from kindred.operators.skew import CHUNK_ROWS, count_by, heavy_hitters, spread_join
+from kindred.session import materialize
 
 # The hash primes, the ranges of the hash coefficients a and b (the upper bounds grow
 # by COEFFICIENT_STEP with each further hash), and the signature lengths.
@@ -23,9 +24,7 @@ COEFFICIENT_STEP = 10_000_000
 ITEM_HASHES = 100
 USER_HASHES = 70
 
-_HASHES_PER_GROUP = 10
-_SIGNATURE_COPIES = 8
-_SAMPLE_PER_RANGE = 16
+BLOCK_ROWS = 1_000
 
 
 def hash_family(
@@ -43,31 +42,32 @@ def hash_family(
     ]
 
 
-def encode_ids(df: DataFrame, column: str, rows_per_range: int = 1_000_000) -> DataFrame:
+def encode_ids(df: DataFrame, column: str, rows_per_range: int | None = None) -> DataFrame:
     """(column, idx): dense indexes 0..n-1 of the distinct ids, in ascending id order."""
-    return _dense_ids(df, column, rows_per_range)[0]
+    return dense_ids(df, column, rows_per_range)[0]
 
 
-def _dense_ids(df: DataFrame, column: str, rows_per_range: int = 1_000_000) -> tuple[DataFrame, int]:
-    """The ids are cut into value ranges, numbered within a range, and shifted by the ranges below.
+def dense_ids(df: DataFrame, column: str, rows_per_range: int | None = None) -> tuple[DataFrame, int]:
+    """The indexes of :func:`encode_ids`, and how many there are.
 
-    There are at least as many ranges as cores, and more with more ids. The cuts come from a sample of a
-    few ids for each range and only balance the work: any cuts give the same numbers, so a recomputed
-    task cannot disagree with its siblings. The driver reads the sample and one count for each range.
+    One range shuffle sorts the distinct ids and is written once with each id's range and place; an index is
+    the place shifted by the sizes of the ranges below, of which the driver reads one number a range. Any
+    cuts give the same indexes. ``rows_per_range`` asks for that many ids a range in place of the session's
+    number of shuffle partitions.
     """
     ids = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    n = ids.count()
-    ranges = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / rows_per_range))
-    sample = ids.orderBy(F.xxhash64(column), column).limit(_SAMPLE_PER_RANGE * ranges).collect()
-    cuts = sorted(r[0] for r in sample)[_SAMPLE_PER_RANGE // 2 :: _SAMPLE_PER_RANGE]
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(column))) if cuts else F.lit(0)
-    ranged = ids.withColumn("_range", part)
-    sizes = {r._range: r.n for r in count_by(ranged, "_range").collect()}
-    starts = list(itertools.accumulate([0] + [sizes.get(i, 0) for i in range(len(cuts))]))
-    start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("_range") + 1)
-    position = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
-    coded = ranged.select(column, (start + position).cast("long").alias("idx"))
-    return coded, n
+    if rows_per_range is None:
+        ranged = ids.repartitionByRange(column)
+    else:
+        ranged = ids.repartitionByRange(max(1, math.ceil(ids.count() / rows_per_range)), column)
+    # counts from 0 within a partition, whose number is in the bits from 33 up
+    placed = materialize(ranged.sortWithinPartitions(column).select(column, F.monotonically_increasing_id().alias("_at")))
+    part = F.shiftright("_at", 33).cast("int").alias("part")
+    sizes = {r["part"]: r["n"] for r in count_by(placed.select(part), "part").collect()}
+    starts = list(itertools.accumulate([0] + [sizes.get(i, 0) for i in range(max(sizes, default=-1))]))
+    start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), part + 1)
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(column, (start + place).alias("idx")), sum(sizes.values())
 
 
 def minhash(
@@ -76,32 +76,27 @@ def minhash(
     family: Sequence[tuple[int, int]],
     prime: int = PRIME,
     buckets: int | None = None,
+    weights: DataFrame | None = None,
+    chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(entity, signature): per hash the least value over the entity's element indexes ``idx``.
 
-    A row is repeated per group of _HASHES_PER_GROUP hashes, and each group is one aggregation
-    with a partial step, so a huge set shrinks to one row per group and input task.
+    All hashes of a row are columns of one aggregate, so no row is copied. Rows meet by entity before they
+    are aggregated, as an entity spread over many tasks would leave a whole signature in each; one of more
+    than ``chunk`` rows is cut into pieces first, whose signatures are combined. ``weights`` is a lazy
+    (entity, n) table of the rows of each entity, where there is a cheaper one than by counting them.
     """
     m = None if buckets is None else F.lit(buckets).cast("long")
-    groups = [family[i : i + _HASHES_PER_GROUP] for i in range(0, len(family), _HASHES_PER_GROUP)]
-
-    def longs(values: list[int]) -> Column:
-        return F.array(*[F.lit(v).cast("long") for v in values])
-
-    coefficients = F.array(
-        *[
-            F.struct(F.lit(g).alias("_group"), longs([a for a, _ in part]).alias("_a"), longs([b for _, b in part]).alias("_b"))
-            for g, part in enumerate(groups)
-        ]
-    )
-    a, b = F.col("_a"), F.col("_b")
-    width = min(_HASHES_PER_GROUP, len(family))
-    # get() gives null past the end of a short last group, and null is left out of a minimum.
-    least = [F.min(linear_hash(F.col("idx"), F.get(a, F.lit(j)), F.get(b, F.lit(j)), prime, m)).alias(f"_h{j}") for j in range(width)]
-    parts = coded.select(entity, "idx", F.inline(coefficients)).groupBy(entity, "_group").agg(*least)
-    part = F.struct("_group", F.array(*[f"_h{j}" for j in range(width)]).alias("values"))
-    joined = F.flatten(F.transform(F.sort_array(F.collect_list(part)), lambda p: p["values"]))
-    return parts.groupBy(entity).agg(F.slice(joined, 1, len(family)).alias("signature"))
+    kind = "int" if prime < 1 << 31 else "long"
+    names = [f"_h{i}" for i in range(len(family))]
+    hashes = [linear_hash(F.col("idx"), F.lit(a).cast("long"), F.lit(b).cast("long"), prime, m).cast(kind) for a, b in family]
+    large = heavy_hitters(count_by(coded, entity) if weights is None else weights, [entity], chunk)
+    pieces = F.broadcast(large.select(entity, F.ceil(F.col("n") / chunk).cast("int").alias("_pieces")))
+    piece = F.pmod(F.xxhash64("idx"), F.coalesce("_pieces", F.lit(1))).cast("int")
+    cut = coded.join(pieces, entity, "left").select(entity, piece.alias("_piece"), "idx").repartition(entity, "_piece")
+    parts = cut.groupBy(entity, "_piece").agg(*[F.min(h).alias(n) for h, n in zip(hashes, names)])
+    whole = parts.groupBy(entity).agg(*[F.min(n).alias(n) for n in names])
+    return whole.select(entity, F.array(*names).cast("array<long>").alias("signature"))
 
 
 def minhash_signatures(
@@ -115,12 +110,20 @@ def minhash_signatures(
     """Signatures of sets given as distinct (entity, element) rows.
 
     With ``bucketed`` the hashes are taken modulo (number of elements - 1), at least 1. Without it
-    fewer unrelated sets agree by accident.
+    fewer unrelated sets agree by accident. ``members`` are written once, as they are read several times.
     """
     family = hash_family(ITEM_HASHES, seed=1) if family is None else family
-    ids, n = _dense_ids(members, element)
-    coded = spread_join(members, ids, [element], weights=count_by(members, element)).select(entity, "idx")
-    return minhash(coded, entity, family, prime, max(n - 1, 1) if bucketed else None)
+    return signed(materialize(members.select(entity, element)), entity, element, family, prime, bucketed)
+
+
+def signed(
+    members: DataFrame, entity: str, element: str, family: Sequence[tuple[int, int]], prime: int = PRIME, bucketed: bool = True
+) -> DataFrame:
+    """:func:`minhash_signatures` of members that are cheap to read."""
+    ids, n = dense_ids(members, element)
+    # One narrow row an element; where an element is hot, the runtime splits its partition of members.
+    coded = members.join(ids, element).select(entity, "idx")
+    return minhash(coded, entity, family, prime, max(n - 1, 1) if bucketed else None, count_by(members, entity))
 
 
 def bands(signature: Column, length: int, rows_per_band: int = 1) -> Column:
@@ -177,8 +180,7 @@ def with_shared_bands(
 ) -> DataFrame:
     """The pairs that are LSH candidates, with ``n_bands``, the number of bands they share."""
     for side, name in ((left, "_sig_a"), (right, "_sig_b")):
-        one = signatures.select(F.col(entity).alias(side), F.col("signature").alias(name))
-        pairs = salted_join(pairs, one, side, right if side == left else left, how="inner", pieces=_SIGNATURE_COPIES)
+        pairs = pairs.join(signatures.select(F.col(entity).alias(side), F.col("signature").alias(name)), side)
     if rows_per_band == 1:
         first, second = F.col("_sig_a"), F.col("_sig_b")
     else:
@@ -191,6 +193,35 @@ def with_shared_bands(
     )
 
 
+def lsh_pairs(
+    signatures: DataFrame, entity: str, length: int, rows_per_band: int = 1, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(a < b, n_bands): every pair of entities that stand in one bucket, once, with the number of bands they share.
+
+    Buckets are self-joined in blocks of about ``block_rows`` members, so that one with a third of all entities
+    is dealt out over many tasks. All its pairs are candidates, and so are written out: bands of one row, in
+    which unrelated entities meet often, are better tested on pairs that are known otherwise (:func:`with_shared_bands`).
+    """
+    groups = lsh_candidates(signatures, entity, length, rows_per_band)
+    rows = groups.select("band", "bucket", F.col(entity).alias("id"), F.col("n_members").alias("_n"))
+    met = group_pairs(block_columns(rows, "_n", block_rows), ["band", "bucket"], [], True, None)
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("n_bands"))
+
+
+def verified(
+    candidates: DataFrame, members: DataFrame, entity: str, element: str, min_overlap: int = 1, threshold: float = 0.0
+) -> DataFrame:
+    """The pairs of ``candidates`` (a, b, ...) with their overlap ``n`` and sizes, that reach both bounds.
+
+    Pairs whose sizes alone rule out the threshold go first.
+    """
+    sized = with_sizes(candidates, members, entity)
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    if threshold > 0:
+        sized = sized.filter(small >= F.lit(threshold) * large - EPS)
+    return looked_up(sized, members, entity, element).filter(reaches(F.col("n"), min_overlap, threshold))
+
+
 def lsh_candidate_pairs(
     members: DataFrame,
     entity: str = "business_id",
@@ -202,14 +233,20 @@ def lsh_candidate_pairs(
     bucketed: bool = True,
     hot_floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """(b1 < b2, n, n_bands) of LSH candidates that share ``n`` elements, at least ``min_overlap`` and one.
+    """(b1 < b2, n, n_bands) of the LSH candidates that share ``n`` elements, at least ``min_overlap``.
 
-    Candidates that share no element meet by accident of the hashes and are not listed.
+    With ``min_overlap`` of 0 these are all candidates, from their buckets; those that share no element meet by
+    accident of the hashes. With 1 or more the pairs that share so many elements come first.
     """
     family = hash_family(ITEM_HASHES, seed=1) if family is None else family
-    signatures = minhash_signatures(members, entity, element, family, prime, bucketed)
-    shared = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor)
-    met = with_shared_bands(shared, signatures, entity, len(family), rows_per_band)
+    members = materialize(members.select(entity, element))
+    signatures = signed(members, entity, element, family, prime, bucketed)
+    shared = overlap_pairs(members, entity, element, min_overlap=max(min_overlap, 1), hot_floor=hot_floor)
+    if min_overlap > 0:
+        met = with_shared_bands(shared, materialize(signatures), entity, len(family), rows_per_band)
+    else:
+        candidates = lsh_pairs(materialize(signatures), entity, len(family), rows_per_band)
+        met = candidates.join(shared, ["a", "b"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
     return met.select(F.col("a").alias("b1"), F.col("b").alias("b2"), "n", "n_bands")
 
 
@@ -224,15 +261,25 @@ def similar_pairs_lsh(
     bucketed: bool = True,
     hot_floor: int = HOT_FLOOR,
     raw: DataFrame | None = None,
+    start: str | None = None,
 ) -> DataFrame:
     """(b1 < b2, sim) of LSH candidates with Jaccard of at least ``threshold``.
 
-    Candidates are not listed and then checked: with one-row bands and a low threshold they
-    outnumber the pairs that share an element at all. The pairs that reach the threshold come
-    first, and whether their signatures meet is then a test on one row. The result is the same.
+    ``start`` says what comes first: "buckets", whose pairs are then verified, or "elements", whose pairs reach
+    the threshold and are then tested for a shared band. The result is the same. By default bands of several rows
+    start from buckets. With bands of one row more pairs meet in some bucket by accident than share an element
+    at all, so these start from elements. ``raw`` is read for hot elements only, and may be left out.
     """
+    if start not in (None, "buckets", "elements"):
+        raise ValueError(f"start must be 'buckets' or 'elements', not {start!r}")
     family = hash_family(ITEM_HASHES, seed=1) if family is None else family
-    signatures = minhash_signatures(members, entity, element, family, prime, bucketed)
-    pairs = similar_pairs(members, entity, element, threshold, hot_floor, raw)
+    members = materialize(members.select(entity, element))
+    signatures = signed(members, entity, element, family, prime, bucketed)
+    if start == "buckets" or (start is None and rows_per_band > 1):
+        candidates = lsh_pairs(materialize(signatures), entity, len(family), rows_per_band).select("a", "b")
+        found = verified(candidates, members, entity, element, threshold=threshold)
+        sim = F.round(jaccard(F.col("n"), F.col("size_a"), F.col("size_b")), SIM_DIGITS)
+        return found.select(F.col("a").alias("b1"), F.col("b").alias("b2"), sim.alias("sim"))
+    pairs = similar_pairs(members, entity, element, threshold, hot_floor)
     met = with_shared_bands(pairs, signatures, entity, len(family), rows_per_band, "b1", "b2")
     return met.select("b1", "b2", "sim")

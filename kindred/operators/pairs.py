@@ -21,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions.expressions import SIM_DIGITS, jaccard, pearson
-from kindred.operators.skew import HOT_KEYS, count_by, heavy_hitters, salted_join, spread_join
+from kindred.operators.skew import HOT_KEYS, count_by, heavy_hitters, spread_join
 
 HOT_FLOOR = 5_000
-_EPS = 1e-12
+EPS = 1e-12
 
 
-def _block_columns(rows: DataFrame, n: str, block_rows: int) -> DataFrame:
+def block_columns(rows: DataFrame, n: str, block_rows: int) -> DataFrame:
     """Cut each group into blocks of about ``block_rows`` and place a row in every block pair."""
     blocks = F.greatest(F.ceil(F.col(n) / block_rows).cast("int"), F.lit(1))
     return (
@@ -40,7 +40,7 @@ def _block_columns(rows: DataFrame, n: str, block_rows: int) -> DataFrame:
     )
 
 
-def _group_pairs(rows: DataFrame, keys: list[str], carried: list[str], blocked: bool, keep: Column | None) -> DataFrame:
+def group_pairs(rows: DataFrame, keys: list[str], carried: list[str], blocked: bool, keep: Column | None) -> DataFrame:
     """Pairs a < b of the rows with equal keys, with the carried columns of both sides."""
     shared = keys + (["_lo", "_hi"] if blocked else [])
     own = ["_own"] if blocked else []
@@ -92,7 +92,7 @@ def _rank_sets(ranks: Column, size: int) -> Column:
     )
 
 
-def _reaches(overlap: Column, min_overlap: int, min_jaccard: float) -> Column:
+def reaches(overlap: Column, min_overlap: int, min_jaccard: float) -> Column:
     enough = overlap >= min_overlap
     if min_jaccard > 0:
         enough = enough & (jaccard(overlap, F.col("size_a"), F.col("size_b")) >= min_jaccard)
@@ -133,7 +133,7 @@ def overlap_pairs(
     size_keep = None
     if sized:
         small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-        size_keep = small >= F.lit(min_jaccard) * large - _EPS
+        size_keep = small >= F.lit(min_jaccard) * large - EPS
 
     carried = (["v"] if value else []) + (["size"] if sized else [])
     pair_keys = ["a", "b"] + (["size_a", "size_b"] if sized else [])
@@ -141,8 +141,8 @@ def overlap_pairs(
     light = members.filter(~F.col("via").isin(hot)) if hot else members
     if split_light:
         degrees = count_by(light, "via", name="_n")
-        light = _block_columns(light.join(degrees, "via"), "_n", hot_floor)
-    shared = _group_pairs(light, ["via"], carried, split_light, size_keep)
+        light = block_columns(light.join(degrees, "via"), "_n", hot_floor)
+    shared = group_pairs(light, ["via"], carried, split_light, size_keep)
 
     x, y = F.col("v_a"), F.col("v_b")
     measures = {"n": F.lit(1).cast("long")}
@@ -159,7 +159,7 @@ def overlap_pairs(
     pairs = found.groupBy(*pair_keys).agg(*[F.sum(c).alias(c) for c in measures])
     if hot:
         pairs = _add_hot_moments(pairs, profiles, bool(value))
-    return pairs.filter(_reaches(F.col("n"), min_overlap, min_jaccard))
+    return pairs.filter(reaches(F.col("n"), min_overlap, min_jaccard))
 
 
 def _hot_profiles(members: DataFrame, hot: list, value: str | None, sized: bool) -> DataFrame:
@@ -187,7 +187,7 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
     label = ["mask"]
     if min_jaccard > 0:
         label = ["mask", "size"]
-        needed = F.greatest(needed, F.ceil(F.col("size") * F.lit(min_jaccard) - _EPS).cast("int"))
+        needed = F.greatest(needed, F.ceil(F.col("size") * F.lit(min_jaccard) - EPS).cast("int"))
     held = F.bit_count("mask")
     members = profiles.select("id", *label).filter(held >= needed)
     classes = count_by(members, *label)
@@ -214,7 +214,7 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
         side("a")
         .join(side("b"), "key")
         .filter((order_a < order_b) | ((order_a == order_b) & (F.col("n_a") > 1)))
-        .filter(_reaches(F.bit_count(common), min_overlap, min_jaccard))
+        .filter(reaches(F.bit_count(common), min_overlap, min_jaccard))
         .filter(common.bitwiseAND(F.col("below_a")) == F.col("key"))
         .select(*label_a, *label_b, "blocks_b", F.explode(F.sequence(F.lit(0), F.col("blocks_a") - 1)).alias("_block_a"))
         .withColumn("_block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
@@ -241,9 +241,9 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
 def _add_hot_moments(pairs: DataFrame, profiles: DataFrame, with_values: bool) -> DataFrame:
     carried = ["mask"] + (["values"] if with_values else [])
     columns = pairs.columns
-    for side, other in (("a", "b"), ("b", "a")):
+    for side in ("a", "b"):
         one = profiles.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in carried])
-        pairs = salted_join(pairs, one, side, other)
+        pairs = pairs.join(one, side, "left")
     common = F.col("mask_a").bitwiseAND(F.col("mask_b"))  # null where a side has no hot element
     added = {"n": F.coalesce(F.bit_count(common), F.lit(0)).cast("long")}
     if with_values:
@@ -301,15 +301,38 @@ def jaccard_pairs(
 
 
 def with_sizes(pairs: DataFrame, members: DataFrame, entity: str) -> DataFrame:
-    """Add the set sizes of both sides of a pair table."""
+    """Add the set sizes of both sides of a pair table.
+
+    An entity in many pairs makes a large partition of pairs, which the runtime splits; nothing is copied ahead.
+    """
     sizes = count_by(members, entity, name="size")
     for side in ("a", "b"):
-        other = "b" if side == "a" else "a"
-        one = sizes.select(F.col(entity).alias(side), F.col("size").alias(f"size_{side}"))
-        pairs = salted_join(pairs, one, side, other, how="inner")
+        pairs = pairs.join(sizes.select(F.col(entity).alias(side), F.col("size").alias(f"size_{side}")), side)
     return pairs
 
 
+def looked_up(sized: DataFrame, rows: DataFrame, entity: str, element: str, value: str | None = None) -> DataFrame:
+    """The pairs of ``sized`` (a, b, size_a, size_b, ...) that share elements, with their number ``n``.
+
+    With ``value`` also with the moments of the values over the shared elements. The elements of the smaller
+    set of a pair are looked up in the larger one, so a pair costs as many rows as its smaller set has.
+    """
+    first = F.col("size_a") <= F.col("size_b")
+    few, many = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
+
+    def side(name: str, number: str) -> DataFrame:
+        numbers = [F.col(value).cast("double").alias(number)] if value else []
+        return rows.select(F.col(entity).alias(name), F.col(element).alias("_via"), *numbers)
+
+    found = sized.select("*", few.alias("_few"), many.alias("_many")).join(side("_few", "_u"), "_few")
+    found = found.join(side("_many", "_v"), ["_many", "_via"])
+    measures = {"n": F.count(F.lit(1))}
+    if value:
+        x, y = F.when(first, F.col("_u")).otherwise(F.col("_v")), F.when(first, F.col("_v")).otherwise(F.col("_u"))
+        measures |= {"sx": F.sum(x), "sy": F.sum(y), "sxx": F.sum(x * x), "syy": F.sum(y * y), "sxy": F.sum(x * y)}
+    return found.groupBy(*sized.columns).agg(*[e.alias(c) for c, e in measures.items()])
+
+
 def pair_moments(
     ratings: DataFrame,
     entity: str = "business_id",

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from kindred.session import materialize
+
 HOT_KEYS = 64  # kept as the bits of one long
 JOIN_KEYS = 10_000
 CHUNK_ROWS = 100_000
@@ -87,6 +89,20 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: str, how: s
     return left_salted.join(right_salted, [on, "_piece"], how).drop("_piece")
 
 
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """``df`` with the place (from 1) of each row among those of its keys, without bringing a key to one task.
+
+    The rows are sorted into value ranges of (keys, order) and written once with their range. A place is that within
+    the range, plus what the ranges before hold of the key: a few rows a key are summed up for that.
+    """
+    placed = materialize(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    here = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = count_by(placed, *keys, "_part").select(*keys, "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_ahead"))
+    numbered = placed.withColumn("_here", here).join(counts, [*keys, "_part"])
+    return numbered.withColumn(name, F.col("_here") + F.col("_ahead")).drop("_part", "_here", "_ahead")
+
+
 def repeat_rows(df: DataFrame, copies: str, step: int = 10_000) -> DataFrame:
     """Emit each row ``copies`` times; two nested sequences keep the helper arrays short."""
     outer = F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / step))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,64 @@ def test_candidate_pairs_hold_those_that_share_one_element(spark):
             if x < y and n and met:
                 want[x, y, n] = met
     assert found == want and min(n for _, _, n in found) == 1
+
+
+@pytest.mark.parametrize("rows_per_band", [1, 2])
+@pytest.mark.parametrize("block_rows", [1, 4, 1000])
+def test_bucket_pairs_equal_the_definition(spark, rows_per_band, block_rows):
+    made = random_sets() + [(b, 900) for b in range(100, 130)]  # 30 equal sets share all buckets
+    family = minhash.hash_family(6, 3)
+    signatures = naive_signatures(made, family, True)
+    bands = {b: [tuple(s[i : i + rows_per_band]) for i in range(0, 6, rows_per_band)] for b, s in signatures.items()}
+    want = {}
+    for x in bands:
+        for y in bands:
+            met = sum(p == q for p, q in zip(bands[x], bands[y]))
+            if x < y and met:
+                want[x, y] = met
+    signed = minhash.minhash_signatures(members(spark, made), family=family)
+    found = minhash.lsh_pairs(signed, "business_id", 6, rows_per_band, block_rows).collect()
+    assert {(r.a, r.b): r.n_bands for r in found} == want and len(found) == len(want)
+
+    listed = minhash.lsh_candidate_pairs(members(spark, made), min_overlap=0, family=family, rows_per_band=rows_per_band)
+    sets = naive.sets_of(made)
+    assert rows(listed) == sorted(((x, y, len(sets[x] & sets[y]), n) for (x, y), n in want.items()), key=repr)
+
+
+@pytest.mark.parametrize("rows_per_band", [1, 2, 3])
+def test_both_starts_give_the_same_pairs(spark, rows_per_band):
+    made = random_sets(6, 500) + [(b, u) for b in (200, 201, 202) for u in range(100, 160)]
+    table, family = members(spark, made), minhash.hash_family(12, 3)
+    found = [
+        rows(minhash.similar_pairs_lsh(table, threshold=0.1, family=family, rows_per_band=rows_per_band, start=start))
+        for start in ("buckets", "elements", None)
+    ]
+    assert found[0] == found[1] == found[2] and found[0]
+    with pytest.raises(ValueError):
+        minhash.similar_pairs_lsh(table, start="other")
+
+
+def test_banded_pairs_do_not_start_from_all_pairs(spark):
+    table = members(spark, random_sets())
+    found = minhash.similar_pairs_lsh(table, family=minhash.hash_family(8, 1), rows_per_band=2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_lo#" in plan  # blocks of buckets
+    assert not re.search(r"\bvia#", plan)  # no self-join of the sets by their elements
+    exact = pairs.similar_pairs(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"\bvia#", exact)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 100_000])
+def test_a_large_set_is_cut_into_pieces(spark, chunk):
+    made = random_sets(3) + [(77, u) for u in range(500)]
+    ids = {u: i for i, u in enumerate(sorted({u for _, u in made}))}
+    coded = spark.createDataFrame([(b, ids[u]) for b, u in made], "business_id long, idx long").repartition(4)
+    family = minhash.hash_family(9, 2)
+    found = minhash.minhash(coded, "business_id", family, chunk=chunk).collect()
+    assert {r.business_id: r.signature for r in found} == naive_signatures(made, family, False)
+
+
+def test_ids_of_an_empty_table_and_nulls(spark):
+    assert minhash.encode_ids(spark.createDataFrame([], "k string"), "k").collect() == []
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "k string")
+    assert rows(minhash.encode_ids(df, "k")) == [("a", 0), ("b", 1)]

@@ -50,6 +50,17 @@ def test_lsh_user_model_is_part_of_the_exact_one(world):
     assert as_dict(neighbours.user_cf_model_lsh(df, ["at"], family, bucketed=False)) == found
 
 
+@pytest.mark.parametrize("rows_per_band", [1, 2])
+def test_lsh_user_model_is_the_same_from_either_start(world, rows_per_band):
+    ratings, _, df, _ = world
+    family = minhash.hash_family(6, 2)
+    options = {"family": family, "rows_per_band": rows_per_band, "bucketed": False, "min_jaccard": 0.1}
+    found = [as_dict(neighbours.user_cf_model_lsh(df, ["at"], start=s, **options)) for s in ("buckets", "elements")]
+    assert found[0] == found[1] and found[0]
+    exact = naive.cf_model(ratings, by=0, min_jaccard=0.1)
+    assert found[0] == pytest.approx({p: exact[p] for p in found[0]})
+
+
 @pytest.mark.parametrize("chunk", [100_000, 25, 3])
 def test_item_predictions_equal_brute_force(spark, world, chunk):
     ratings, targets, df, target_df = world
