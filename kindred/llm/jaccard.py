@@ -104,7 +104,7 @@ def _signature_batches(size: int, n_hashes: int):
                 full = np.flatnonzero(np.diff(cuts))
                 n = np.diff(cuts)
                 found = signatures(hashes, np.append(cuts[:-1][full], len(hashes)), n_hashes) if len(full) else None
-                whole = [B.Rolling(hashes, k)(cuts[:-1], cuts[1:]) for k in (2, 3)]
+                whole = [B.hashes(hashes, cuts[:-1], cuts[1:], k) for k in (2, 3)]
                 rows = [None] * len(n)
                 for i, at in enumerate(full.tolist()):
                     rows[at] = found[i].tobytes()

@@ -36,6 +36,8 @@ SEQUENCE = 2048
 # How byte-level BPE cuts a text, and the characters on which all versions of Unicode agree here.
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = re.compile("[\t\n -~¡-ɏ]*")
+RUN = 1_000  # blanks in a row; the faster encoder takes their square in steps and recurses as deep
+BLANKS = re.compile(rf"\s{{{RUN}}}")
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}  # of this worker process
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _copy long"
@@ -45,7 +47,8 @@ class Encoder:
     """Ids of texts by a byte-level BPE tokenizer file.
 
     Where the file says nothing else than such a tokenizer with merges in the order of their ids, the same
-    vocabulary goes to a faster encoder for texts of plain characters. All other texts go to the tokenizer.
+    vocabulary goes to a faster encoder for texts of plain characters without long runs of blanks. All other
+    texts go to the tokenizer.
     With ``added`` the strings of the file's added tokens have their ids, as the tokenizer gives them by
     default; without it they are ordinary text.
     """
@@ -68,7 +71,9 @@ class Encoder:
         return _ENCODERS[path, added]
 
     def _is_plain(self, text: str) -> bool:
-        return self.fast is not None and PLAIN.fullmatch(text) is not None and not (self.added and self.added.search(text))
+        if self.fast is None or (self.added and self.added.search(text)) or (len(text) >= RUN and BLANKS.search(text)):
+            return False
+        return PLAIN.fullmatch(text) is not None
 
     @staticmethod
     def _fast(spec: dict):

@@ -90,3 +90,18 @@ def test_added_tokens_as_the_unmodified_tokenizer(spark, tmp_path):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
     packed = corpus_pipeline.best_fit_packing(spark, frame(spark, docs), "").collect()
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == want
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, " \n\t" * 400_000, "a" * 2_000_000, (" " * 5_000 + "a") * 100])
+def test_long_runs_equal_the_library(text):
+    want = Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    for added in (True, False):
+        assert np.frombuffer(packing.Encoder.of(PATH, added).encode([text])[0], "<u4").tolist() == want
+
+
+def test_a_document_of_blanks(spark):
+    docs = [(1, " " * 1_500_000), (2, "short"), (3, "\n" * 900_000)]
+    got = packing.pack_documents(frame(spark, docs), PATH, want_ids=False, added=True)
+    counts = {r.doc_id: r.n for r in got.groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    tokenizer = Tokenizer.from_file(PATH)
+    assert counts == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in docs}
