@@ -33,8 +33,8 @@ from kindred.llm import bytesops as B
 from kindred.llm.tables import Scratch
 
 DEPTH = 4
-CHUNK = 32 << 20
-PIECE = 2 << 20  # bytes of a chunk that are handled at once
+CHUNK = 16 << 20
+PIECE = 1 << 20  # bytes of a chunk that are handled at once
 SHARDS = 256
 TOP = 2  # bytes of context that grams of one group share
 MARK = 0xFF  # before and after a text; no byte of UTF-8
@@ -75,16 +75,18 @@ def _weigh(pe: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def grams(texts: B.Texts, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Every byte and end mark with the ``depth`` bytes before it, the last of them first, and the text it is in."""
     n = len(texts.offsets) - 1
-    sizes = np.diff(texts.offsets)
-    row = np.repeat(np.arange(n), sizes)
-    out = np.full(len(texts.data) + n * (depth + 1), MARK, np.uint8)
-    out[np.arange(len(texts.data)) + depth + row * (depth + 1)] = _LOWER[texts.data]
-    doc = np.repeat(np.arange(n), sizes + 1)
-    at = np.arange(len(texts.data) + n) + depth * (doc + 1)
-    keys = out[at].astype(np.int64)
-    for back in range(1, depth + 1):
-        keys |= out[at - back].astype(np.int64) << (8 * (depth + 1 - back))
-    return keys, doc
+    sizes, pad = np.diff(texts.offsets), depth + 1
+    out = np.full(len(texts.data) + n * pad, MARK, np.uint8)
+    told = np.ones(len(out), bool)
+    told[((texts.offsets[:-1] + pad * np.arange(n))[:, None] + np.arange(depth)).ravel()] = False
+    inside = told.copy()
+    inside[texts.offsets[1:] + pad * np.arange(1, n + 1) - 1] = False
+    out[inside] = _LOWER[texts.data]
+    wide = out.astype(np.int64)
+    keys = wide.copy()
+    for back in range(1, pad):
+        keys[back:] |= wide[:-back] << (8 * (pad - back))
+    return keys[told], np.repeat(np.arange(n), sizes + 1)
 
 
 def _words(texts: B.Texts) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -94,7 +96,7 @@ def _words(texts: B.Texts) -> tuple[pa.DictionaryArray, np.ndarray]:
     data = _LOWER[texts.data[inside[texts.data]]]
     offsets = np.append(0, np.cumsum(found.end - found.start)).astype(np.int32)
     array = pa.Array.from_buffers(pa.binary(), len(found.start), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return array.dictionary_encode(), found.doc
+    return array.dictionary_encode(), found.doc.astype(np.int32)
 
 
 def _deal_batches(size: int):
@@ -272,27 +274,29 @@ def _score_table(depth: int, train_tokens: int, distinct: int, ends: int):
     base = math.log10(train_tokens + distinct + 1)
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        parts: list[pa.Table] = []
         known = answers.filter(pc.is_valid(answers.column("gram")))
-        keys, values = known.column("gram").to_numpy(), known.column("value").to_numpy()
-        order = np.argsort(keys)
-        keys, values = keys[order], values[order]
+        keys, values = known.column("gram").combine_chunks(), known.column("value").to_numpy()
         known = answers.filter(pc.is_valid(answers.column("word")))
         vocabulary, numbers = known.column("word").combine_chunks(), known.column("n").to_numpy()
-        for batch in docs.to_batches():
-            for texts in B.chunks(batch.column("text"), PIECE):
-                n = len(texts.offsets) - 1
-                asked, doc = grams(texts, depth)
-                score = np.bincount(doc, values[np.searchsorted(keys, asked)], n)
-                coded, doc = _words(texts)
-                place = pc.index_in(coded.dictionary, vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
-                c = numbers[place][coded.indices.to_numpy()] if len(doc) else np.zeros(0, np.int64)
-                tokens = np.bincount(doc, minlength=n) + 1
-                logs = np.bincount(doc, np.log10(c + 1.0), n) + math.log10(ends + 1) - tokens * base
-                kept = [batch.column(x).slice(texts.first, n) for x in ("doc_id", "held_out")]
-                found = [tokens, np.bincount(doc, c > 0, n).astype(np.int64) + (ends > 0), np.full(n, train_tokens), logs, score]
-                names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
-                parts.append(pa.table([*kept, *map(pa.array, found), pa.array(np.diff(texts.offsets))], names=names))
+        pieces = [(batch, texts, *_words(texts)) for batch in docs.to_batches() for texts in B.chunks(batch.column("text"), PIECE)]
+        # all words are looked up at once, as every lookup hashes the vocabulary anew
+        place = pc.index_in(pa.concat_arrays([coded.dictionary for *_, coded, _ in pieces]), vocabulary)
+        counts, at = numbers[place.to_numpy()], 0
+        parts: list[pa.Table] = []
+        for batch, texts, coded, doc in pieces:
+            n = len(texts.offsets) - 1
+            c = counts[at + coded.indices.to_numpy()]
+            at += len(coded.dictionary)
+            tokens = np.bincount(doc, minlength=n) + 1
+            logs = np.bincount(doc, np.log10(c + 1.0), n) + math.log10(ends + 1) - tokens * base
+            n_known = np.bincount(doc, c > 0, n).astype(np.int64) + (ends > 0)
+            asked, doc = grams(texts, depth)
+            score = np.bincount(doc, values[pc.index_in(pa.array(asked), keys).to_numpy()], n)
+            kept = [batch.column(x).slice(texts.first, n) for x in ("doc_id", "held_out")]
+            columns = [tokens, n_known, np.full(n, train_tokens), logs, score, np.diff(texts.offsets)]
+            names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
+            parts.append(pa.table([*kept, *map(pa.array, columns)], names=names))
+        pa.default_memory_pool().release_unused()  # the next chunk may come to another worker of this executor
         return pa.concat_tables(parts)
 
     return run
