@@ -33,8 +33,8 @@ from kindred.llm import bytesops as B
 from kindred.llm.tables import Scratch
 
 DEPTH = 4
-CHUNK = 16 << 20
-PIECE = 1 << 20  # bytes of a chunk that are handled at once
+CHUNK = 8 << 20
+PIECE = 1 << 19  # bytes of a chunk that are handled at once
 SHARDS = 256
 TOP = 2  # bytes of context that grams of one group share
 MARK = 0xFF  # before and after a text; no byte of UTF-8
@@ -99,6 +99,11 @@ def _words(texts: B.Texts) -> tuple[pa.DictionaryArray, np.ndarray]:
     return array.dictionary_encode(), found.doc.astype(np.int32)
 
 
+def _release() -> None:
+    """Give free memory back: other workers of the executor come next."""
+    pa.default_memory_pool().release_unused()
+
+
 def _deal_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number, filled = TaskContext.get().partitionId() << 32, 0, 0
@@ -158,6 +163,7 @@ def _ask_batches(depth: int):
                     found = [(keys, np.bincount(place, np.concatenate([c for _, c in found])).astype(np.int64))]
         if current is not None:
             yield from asked(current, found, words)
+        _release()
 
     return run
 
@@ -296,7 +302,7 @@ def _score_table(depth: int, train_tokens: int, distinct: int, ends: int):
             columns = [tokens, n_known, np.full(n, train_tokens), logs, score, np.diff(texts.offsets)]
             names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
             parts.append(pa.table([*kept, *map(pa.array, columns)], names=names))
-        pa.default_memory_pool().release_unused()  # the next chunk may come to another worker of this executor
+        _release()
         return pa.concat_tables(parts)
 
     return run
