@@ -6,11 +6,12 @@ stars. A pair is found through the elements it shares, never by comparing all en
 * *Light* elements are self-joined and counted per pair. Their rows carry the moments of the numbers,
   so no second look at the sets is needed. One in d sets costs about d * d / 2 pair rows; d is bounded
   by ``hot_floor`` only while at most ``HOT_KEYS`` elements exceed that.
-* *Hot* elements (at most ``HOT_KEYS`` = 64, the most frequent ones above ``hot_floor``) are never
-  self-joined by themselves. Every entity holds them as a bit mask, whose overlap is added to the
-  pairs found through light elements. A pair that qualifies by hot elements alone is found by
-  matching classes of equal masks, keyed by one shared hot element, and only pairs that do reach
-  the thresholds are written out, each exactly once.
+* *Hot* elements (at most ``HOT_KEYS`` = 512, the most frequent ones above ``hot_floor``) are never
+  self-joined by themselves. Every entity holds them as a bit mask of as many longs as they need, whose
+  overlap is added to the pairs found through light elements. A pair that qualifies by hot elements
+  alone is found by a prefix filter: classes of equal masks are matched by the rarest hot element they
+  share, which stands among the first ``held - needed + 1`` of both, and only pairs that do reach the
+  thresholds are written out, each exactly once.
 
 The result is complete for any skew: nothing is dropped, capped or sampled.
 """
@@ -55,41 +56,22 @@ def group_pairs(rows: DataFrame, keys: list[str], carried: list[str], blocked: b
     return pairs if keep is None else pairs.filter(keep)
 
 
-def _signed(bits: int) -> int:
-    return bits - 2**64 if bits >= 2**63 else bits
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v - 2**64 if v >= 2**63 else v).cast("long") for v in values])
 
 
-def _longs(values: list[int]) -> Column:
-    return F.array(*[F.lit(_signed(v)).cast("long") for v in values])
+# Of a place in a long: its bit, and all places before it.
+_BIT = [1 << i for i in range(64)]
+_BEFORE = [(1 << i) - 1 for i in range(64)]
 
 
-def _rank_sets(ranks: Column, size: int) -> Column:
-    """All sets of ``size`` (1, 2 or 3) ranks of an ascending array, as (key, below).
+def _masks(n_hot: int) -> list[str]:
+    return [f"mask{w}" for w in range(-(-n_hot // 64))]
 
-    ``key`` is the bit mask of the set, ``below`` the mask of every rank up to its highest.
-    """
-    bit = _longs([1 << r for r in range(HOT_KEYS)])
-    below = _longs([(1 << (r + 1)) - 1 for r in range(HOT_KEYS)])
-
-    def entry(*chosen: Column) -> Column:
-        key = F.get(bit, chosen[0])
-        for r in chosen[1:]:
-            key = key.bitwiseOR(F.get(bit, r))
-        return F.struct(key.alias("key"), F.get(below, chosen[-1]).alias("below"))
-
-    def above(r: Column) -> Column:
-        return F.filter(ranks, lambda x: x > r)
-
-    if size == 1:
-        return F.transform(ranks, lambda x: entry(x))
-    if size == 2:
-        return F.flatten(F.transform(ranks, lambda x: F.transform(above(x), lambda y: entry(x, y))))
-    return F.flatten(
-        F.transform(
-            ranks,
-            lambda x: F.flatten(F.transform(above(x), lambda y: F.transform(above(y), lambda z: entry(x, y, z)))),
-        )
-    )
+
+def _set_places(mask: Column) -> Column:
+    """The places of the bits of a long, ascending."""
+    return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(mask, i) == 1)
 
 
 def reaches(overlap: Column, min_overlap: int, min_jaccard: float) -> Column:
@@ -121,7 +103,7 @@ def overlap_pairs(
     members = rows.select(
         F.col(entity).alias("id"), F.col(element).alias("via"), *([F.col(value).cast("double").alias("v")] if value else [])
     )
-    vias = members if raw is None else raw.select(F.col(element).alias("via"))
+    vias = (members if raw is None else raw.select(F.col(element).alias("via"))).filter(F.col("via").isNotNull())
     largest = heavy_hitters(count_by(vias, "via"), ["via"], hot_floor, limit=HOT_KEYS + 1).collect()
     hot = [r["via"] for r in reversed(largest[:HOT_KEYS])]  # rare to frequent
     split_light = len(largest) > HOT_KEYS
@@ -151,44 +133,58 @@ def overlap_pairs(
     found = shared.select(*pair_keys, *[e.alias(c) for c, e in measures.items()])
 
     if hot:
+        masks = _masks(len(hot))
         profiles = _hot_profiles(members, hot, value, sized)
-        alone = _hot_only_pairs(profiles, min_overlap, min_jaccard, hot_floor)
+        alone = _hot_only_pairs(profiles, masks, min_overlap, min_jaccard, hot_floor)
         zeros = [F.lit(0).cast(t).alias(c) for c, t in found.dtypes if c in measures]
         found = found.unionByName(alone.select(*pair_keys, *zeros))
 
     pairs = found.groupBy(*pair_keys).agg(*[F.sum(c).alias(c) for c in measures])
     if hot:
-        pairs = _add_hot_moments(pairs, profiles, bool(value))
+        pairs = _add_hot_moments(pairs, profiles, masks, bool(value))
     return pairs.filter(reaches(F.col("n"), min_overlap, min_jaccard))
 
 
+def _ranks(mask: Column, word: int) -> Column:
+    return F.transform(_set_places(mask), lambda i: i + 64 * word)
+
+
 def _hot_profiles(members: DataFrame, hot: list, value: str | None, sized: bool) -> DataFrame:
-    """Per entity the mask of its hot elements by rank (0 is the rarest), and their values."""
-    ranks = F.create_map(*[F.lit(x) for pair in zip(hot, range(len(hot))) for x in pair])
-    rank = ranks[F.col("via")]
-    columns = [F.bit_or(F.get(_longs([1 << r for r in range(HOT_KEYS)]), rank)).alias("mask")]
-    if value:  # at most HOT_KEYS entries
-        columns.append(F.map_from_entries(F.collect_list(F.struct(rank.alias("rank"), "v"))).alias("values"))
-    return members.filter(F.col("via").isin(hot)).groupBy("id", *(["size"] if sized else [])).agg(*columns)
+    """Per entity the masks of its hot elements by rank (0 is the rarest), and their values in the order of the ranks."""
+    kind = members.select("via").schema.fields[0].dataType.simpleString()
+    ranks = members.sparkSession.createDataFrame([(x, i) for i, x in enumerate(hot)], f"via {kind}, rank int")
+    held = members.join(F.broadcast(ranks), "via")  # at most HOT_KEYS rows
+    place = F.get(_longs(_BIT), F.col("rank") % 64)
+    word = F.floor(F.col("rank") / 64)
+    columns = [F.bit_or(F.when(word == w, place).otherwise(F.lit(0).cast("long"))).alias(m) for w, m in enumerate(_masks(len(hot)))]
+    if value:
+        in_order = F.sort_array(F.collect_list(F.struct("rank", "v")))
+        columns.append(F.transform(in_order, lambda x: x["v"]).alias("values"))
+    return held.groupBy("id", *(["size"] if sized else [])).agg(*columns)
+
 
+def _total_bits(masks: list[Column]) -> Column:
+    return sum((F.bit_count(m) for m in masks[1:]), F.bit_count(masks[0]))
 
-def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, block_rows: int) -> DataFrame:
+
+def _hot_only_pairs(
+    profiles: DataFrame, masks: list[str], min_overlap: int, min_jaccard: float, block_rows: int
+) -> DataFrame:
     """Pairs that reach the thresholds by their hot elements alone, each once.
 
-    Whether they do depends on the two masks and set sizes only. So the entities are grouped into
-    classes of equal mask and size, the classes are matched, and just the matching ones are
+    Whether they do depends on the masks and set sizes only. So the entities are grouped into
+    classes of equal masks and size, the classes are matched, and just the matching ones are
     written out: every pair of their members is a result.
 
-    The rarest ``width`` shared hot elements key a match. They stand among the first
-    ``held - needed + width`` entries of both masks, as ``needed`` entries are shared.
+    The rarest shared hot element keys a match. It stands among the first ``held - needed + 1``
+    entries of both masks, as ``needed`` entries are shared.
     """
-    width = 1  # wider keys make more of them than they keep apart
-    needed = F.lit(max(min_overlap, width))
-    label = ["mask"]
+    needed = F.lit(max(min_overlap, 1))
+    label = list(masks)
     if min_jaccard > 0:
-        label = ["mask", "size"]
+        label += ["size"]
         needed = F.greatest(needed, F.ceil(F.col("size") * F.lit(min_jaccard) - EPS).cast("int"))
-    held = F.bit_count("mask")
+    held = _total_bits([F.col(m) for m in masks])
     members = profiles.select("id", *label).filter(held >= needed)
     classes = count_by(members, *label)
     large = F.broadcast(
@@ -196,26 +192,27 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
     )
     blocks = F.coalesce(F.col("_blocks"), F.lit(1))
 
-    ranks = F.filter(F.sequence(F.lit(0), F.lit(HOT_KEYS - 1)), lambda r: F.getbit("mask", r) == 1)
-    first = F.slice(ranks, F.lit(1), held - needed + F.lit(width))
-    keyed = (
-        classes.join(large, label, "left")
-        .select(*label, "n", blocks.alias("blocks"), first.alias("_ranks"))
-        .select(*label, "n", "blocks", F.inline(_rank_sets(F.col("_ranks"), width)))
-    )
+    ranks = F.flatten(F.array(*[_ranks(F.col(m), w) for w, m in enumerate(masks)]))
+    prefix = F.slice(ranks, F.lit(1), held - needed + 1)
+    keyed = classes.join(large, label, "left").select(*label, "n", blocks.alias("blocks"), F.explode(prefix).alias("key"))
 
     def side(name: str) -> DataFrame:
-        return keyed.select("key", *[F.col(c).alias(f"{c}_{name}") for c in [*label, "n", "blocks", "below"]])
-
-    common = F.col("mask_a").bitwiseAND(F.col("mask_b"))
+        return keyed.select("key", *[F.col(c).alias(f"{c}_{name}") for c in [*label, "n", "blocks"]])
+
+    common = [F.col(f"{m}_a").bitwiseAND(F.col(f"{m}_b")) for m in masks]
+    word, place = F.floor(F.col("key") / 64), F.col("key") % 64
+    rarest = F.lit(True)  # no common bit below the key
+    for w, bits in enumerate(common):
+        here = bits.bitwiseAND(F.get(_longs(_BEFORE), place)) == 0
+        rarest &= F.when(word == w, here).when(word > w, bits == 0).otherwise(True)
     label_a, label_b = ([f"{c}_{name}" for c in label] for name in ("a", "b"))
     order_a, order_b = F.struct(*[F.col(c).alias(c[:-2]) for c in label_a]), F.struct(*[F.col(c).alias(c[:-2]) for c in label_b])
     matched = (
         side("a")
         .join(side("b"), "key")
         .filter((order_a < order_b) | ((order_a == order_b) & (F.col("n_a") > 1)))
-        .filter(reaches(F.bit_count(common), min_overlap, min_jaccard))
-        .filter(common.bitwiseAND(F.col("below_a")) == F.col("key"))
+        .filter(reaches(_total_bits(common), min_overlap, min_jaccard))
+        .filter(rarest)
         .select(*label_a, *label_b, "blocks_b", F.explode(F.sequence(F.lit(0), F.col("blocks_a") - 1)).alias("_block_a"))
         .withColumn("_block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
     )
@@ -238,33 +235,50 @@ def _hot_only_pairs(profiles: DataFrame, min_overlap: int, min_jaccard: float, b
     )
 
 
-def _add_hot_moments(pairs: DataFrame, profiles: DataFrame, with_values: bool) -> DataFrame:
-    carried = ["mask"] + (["values"] if with_values else [])
+def _add_hot_moments(pairs: DataFrame, profiles: DataFrame, masks: list[str], with_values: bool) -> DataFrame:
+    carried = masks + (["values"] if with_values else [])
     columns = pairs.columns
     for side in ("a", "b"):
         one = profiles.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in carried])
         pairs = pairs.join(one, side, "left")
-    common = F.col("mask_a").bitwiseAND(F.col("mask_b"))  # null where a side has no hot element
-    added = {"n": F.coalesce(F.bit_count(common), F.lit(0)).cast("long")}
+    none = F.lit(0).cast("long")  # where a side has no hot element
+    common = [F.coalesce(F.col(f"{m}_a").bitwiseAND(F.col(f"{m}_b")), none) for m in masks]
+    added = {"n": _total_bits(common).cast("long")}
     if with_values:
-        a, b = F.col("values_a"), F.col("values_b")
-        shared = F.filter(F.map_keys(a), lambda r: F.getbit(common, r) == 1)
-        shared = F.when(common != 0, shared).otherwise(F.array().cast("array<int>"))
-        pairs = pairs.withColumn("_shared", shared)
+        pairs = pairs.withColumn("_shared", _shared_values(masks, common))
 
         def total(term) -> Column:
-            return F.aggregate("_shared", F.lit(0.0), lambda acc, r: acc + term(r))
+            return F.aggregate("_shared", F.lit(0.0), lambda acc, p: acc + term(p["x"], p["y"]))
 
         added |= {
-            "sx": total(lambda r: a[r]),
-            "sy": total(lambda r: b[r]),
-            "sxx": total(lambda r: a[r] * a[r]),
-            "syy": total(lambda r: b[r] * b[r]),
-            "sxy": total(lambda r: a[r] * b[r]),
+            "sx": total(lambda x, y: x),
+            "sy": total(lambda x, y: y),
+            "sxx": total(lambda x, y: x * x),
+            "syy": total(lambda x, y: y * y),
+            "sxy": total(lambda x, y: x * y),
         }
     return pairs.select(*[(F.col(c) + added[c]).alias(c) if c in added else F.col(c) for c in columns])
 
 
+def _shared_values(masks: list[str], common: list[Column]) -> Column:
+    """The values of both sides at the common hot elements; a value's index is the number of bits before its own."""
+    words = []
+    ahead = {side: F.lit(0) for side in "ab"}
+    for m, bits in zip(masks, common):
+        words.append(_shared_in_word(m, bits, ahead))
+        ahead = {side: ahead[side] + F.bit_count(F.col(f"{m}_{side}")) for side in "ab"}
+    return F.flatten(F.array(*words))
+
+
+def _shared_in_word(mask: str, bits: Column, ahead: dict[str, Column]) -> Column:
+    def value(side: str, i: Column) -> Column:
+        before = F.col(f"{mask}_{side}").bitwiseAND(F.get(_longs(_BEFORE), i))
+        return F.get(F.col(f"values_{side}"), ahead[side] + F.bit_count(before))
+
+    found = F.transform(_set_places(bits), lambda i: F.struct(value("a", i).alias("x"), value("b", i).alias("y")))
+    return F.when(bits != 0, found).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
+
+
 def similar_pairs(
     members: DataFrame,
     entity: str = "business_id",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kindred.session import materialize
 
-HOT_KEYS = 64  # kept as the bits of one long
+HOT_KEYS = 512  # kept as bits, 64 to a long
 JOIN_KEYS = 10_000
 CHUNK_ROWS = 100_000
 

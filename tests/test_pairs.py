@@ -114,3 +114,41 @@ def test_empty_input(spark):
 def test_row_order_and_partitions_do_not_matter(spark):
     members = table(spark, random_members(5))
     assert rows(pairs.similar_pairs(members)) == rows(pairs.similar_pairs(members.repartition(7).orderBy("user_id")))
+
+
+@pytest.mark.parametrize(("n_hot", "min_overlap", "threshold"), [(64, 3, 0.0), (65, 3, 0.0), (200, 4, 0.0), (200, 1, 0.3), (130, 1, 0.0)])
+def test_more_hot_elements_than_a_long_has_bits(spark, n_hot, min_overlap, threshold):
+    draw = random.Random(n_hot)
+    members = [(b, u) for b in range(40) for u in range(n_hot) if draw.random() < 0.25]
+    members += [(b + 100, u) for b in range(5) for u in (0, 63, n_hot - 1)] + [(draw.randrange(45), 1000 + draw.randrange(60)) for _ in range(100)]
+    members = sorted(set(members))
+    sets = naive.sets_of(members)
+    found = pairs.overlap_pairs(table(spark, members), "business_id", "user_id", None, min_overlap, threshold, hot_floor=4)
+    want = {}
+    for x, y in combinations(sorted(sets), 2):
+        n = len(sets[x] & sets[y])
+        if n >= min_overlap and n / len(sets[x] | sets[y]) >= threshold - 1e-12:
+            want[x, y] = n
+    got = {(r["a"], r["b"]): r["n"] for r in found.collect()}
+    assert got == want and got
+
+
+@pytest.mark.parametrize("floor", [5_000, 3])
+def test_moments_over_many_hot_elements(spark, floor):
+    draw = random.Random(4)
+    stars = {(u, b): float(draw.randrange(1, 6)) for b in range(25) for u in range(150) if draw.random() < 0.2}
+    df = spark.createDataFrame([(u, b, s) for (u, b), s in stars.items()], "user_id long, business_id long, stars double")
+    found = {(r["a"], r["b"]): tuple(r)[2:] for r in pairs.pair_moments(df, hot_floor=floor).collect()}
+    want = {}
+    for a, b in combinations(range(25), 2):
+        both = [(stars[u, a], stars[u, b]) for u in range(150) if (u, a) in stars and (u, b) in stars]
+        if len(both) >= 3:
+            x, y = zip(*both)
+            want[a, b] = (len(both), sum(x), sum(y), sum(i * i for i in x), sum(j * j for j in y), sum(i * j for i, j in both))
+    assert found == want
+
+
+def test_null_elements_are_shared_by_nobody(spark):
+    members = spark.createDataFrame([(b, None) for b in range(20)] + [(1, 5), (2, 5)], "business_id long, user_id long")
+    found = pairs.overlap_pairs(members, "business_id", "user_id", None, 1, hot_floor=3)
+    assert [(r["a"], r["b"], r["n"]) for r in found.collect()] == [(1, 2, 1)]
