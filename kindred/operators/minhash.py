@@ -7,7 +7,7 @@ import math
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kindred.functions.expressions import SIM_DIGITS, jaccard, linear_hash
@@ -262,6 +262,7 @@ def similar_pairs_lsh(
     hot_floor: int = HOT_FLOOR,
     raw: DataFrame | None = None,
     start: str | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """(b1 < b2, sim) of LSH candidates with Jaccard of at least ``threshold``.
 
@@ -269,6 +270,7 @@ def similar_pairs_lsh(
     the threshold and are then tested for a shared band. The result is the same. By default bands of several rows
     start from buckets. With bands of one row more pairs meet in some bucket by accident than share an element
     at all, so these start from elements. ``raw`` is read for hot elements only, and may be left out.
+    ``counts`` observes n_candidates, the pairs that come first, in the run that gives the result.
     """
     if start not in (None, "buckets", "elements"):
         raise ValueError(f"start must be 'buckets' or 'elements', not {start!r}")
@@ -277,9 +279,13 @@ def similar_pairs_lsh(
     signatures = signed(members, entity, element, family, prime, bucketed)
     if start == "buckets" or (start is None and rows_per_band > 1):
         candidates = lsh_pairs(materialize(signatures), entity, len(family), rows_per_band).select("a", "b")
+        if counts is not None:
+            candidates = candidates.observe(counts, F.count(F.lit(1)).alias("n_candidates"))
         found = verified(candidates, members, entity, element, threshold=threshold)
         sim = F.round(jaccard(F.col("n"), F.col("size_a"), F.col("size_b")), SIM_DIGITS)
         return found.select(F.col("a").alias("b1"), F.col("b").alias("b2"), sim.alias("sim"))
     pairs = similar_pairs(members, entity, element, threshold, hot_floor)
+    if counts is not None:
+        pairs = pairs.observe(counts, F.count(F.lit(1)).alias("n_candidates"))
     met = with_shared_bands(pairs, signatures, entity, len(family), rows_per_band, "b1", "b2")
     return met.select("b1", "b2", "sim")

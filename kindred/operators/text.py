@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.expressions import SIM_DIGITS, set_cosine, words
-from kindred.operators.skew import count_by, hot_keys, repeat_rows, spread_join
+from kindred.operators.minhash import dense_ids
+from kindred.operators.skew import count_by, repeat_rows, spread_join
 
 BUSINESS_WORDS = 200
 USER_WORDS = 500
@@ -149,17 +150,31 @@ def content_scores(
 ) -> DataFrame:
     """(user, business, sim) per test row; 0 where either profile is missing or empty.
 
-    ``businesses`` and ``users`` are profile vectors. A repeated test row is scored once.
+    ``businesses`` and ``users`` are profile vectors. A repeated test row is scored once. Words are numbered by
+    those of the businesses first, so a test row carries numbers from one join to the next, the shorter vector
+    first; a user's other words count for its size only. A hot key's rows are split by the runtime.
     """
     targets = count_by(pairs, user, business, name="_copies")
-    biz = businesses.select(business, F.col("fvec").alias("_biz"))
-    usr = users.select(user, F.col("fvec").alias("_usr"))
-    joined = spread_join(targets, usr, [user], "left", hot=hot_keys(pairs, [user]))
-    joined = spread_join(joined, biz, [business], "left", hot=hot_keys(pairs, [business]))
-    sim = set_cosine(F.size(F.array_intersect("_usr", "_biz")), F.size("_usr"), F.size("_biz"))
+    words = businesses.select(F.explode("fvec").alias("word"))
+    numbers = dense_ids(words, "word")[0].select("word", F.col("idx").cast("int").alias("_word"))
+    biz = _numbered(businesses, business, numbers, "_biz")
+    usr = _numbered(users, user, numbers, "_usr")
+    joined = targets.join(biz, business, "left").join(usr, user, "left")
+    shared = F.size(F.array_intersect("_usr.words", "_biz.words"))
+    sim = set_cosine(shared, F.col("_usr.size"), F.col("_biz.size"))
     scored = joined.select(user, business, F.round(sim, SIM_DIGITS).alias("sim"), "_copies")
     return repeat_rows(scored, "_copies")
 
 
+def _numbered(vectors: DataFrame, key: str, numbers: DataFrame, name: str) -> DataFrame:
+    """(key, name): the size of each vector and the numbers of its words."""
+    words = vectors.select(key, F.explode("fvec").alias("word")).join(numbers, "word")
+    held = words.groupBy(key).agg(F.collect_list("_word").alias("_words"))
+    none = F.array().cast("array<int>")
+    return vectors.select(key, F.size("fvec").alias("_size")).join(held, key, "left").select(
+        key, F.struct(F.col("_size").alias("size"), F.coalesce("_words", none).alias("words")).alias(name)
+    )
+
+
 def content_predict(scores: DataFrame, min_sim: float = 0.01) -> DataFrame:
     return scores.filter(F.col("sim") >= min_sim)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,14 +27,35 @@ CONTENT_MODEL = T.StructType(
 )
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], on_bad: str, fmt: str) -> DataFrame:
-    """``on_bad``: "drop" leaves out rows that do not parse or lack a key, "fail" raises on them."""
+def _lacks(keys: Sequence[str]) -> Column:
+    bad = F.lit(False)
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    return bad
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    on_bad: str,
+    fmt: str,
+    counts: Observation | None = None,
+) -> DataFrame:
+    """``on_bad``: "drop" leaves out rows that do not parse or lack a key, "fail" raises on them.
+
+    ``counts`` observes n_rows and n_bad while the rows are read for whatever comes first.
+    """
     if on_bad not in ("drop", "fail"):
         raise ValueError(f"on_bad must be 'drop' or 'fail', not {on_bad!r}")
     reader = spark.read.schema(schema)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST" if on_bad == "fail" else "PERMISSIVE")
     df = reader.format(fmt).load(path)
+    if counts is not None:
+        bad = _lacks(keys)
+        df = df.observe(counts, F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, 1)).alias("n_bad"))
     if on_bad == "drop":
         return df.dropna(subset=list(keys))
     checked = {
@@ -48,14 +69,39 @@ def read_reviews(
     path: str,
     columns: Sequence[str] = ("user_id", "business_id", "stars", "text"),
     on_bad: str = "fail",
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Reviews, one JSON object per line. Only ``columns`` are parsed, and only the two ids must be there.
 
     A review without stars or text stays, as not every use looks at them; ``cf_train`` refuses null stars.
+    ``counts`` tells n_rows and n_bad after the first action, from the same pass.
     """
     schema = T.StructType([f for f in REVIEWS.fields if f.name in columns])
     keys = [c for c in ("user_id", "business_id") if c in columns]
-    return _read(spark, path, schema, keys, on_bad, "json")
+    return _read(spark, path, schema, keys, on_bad, "json", counts)
+
+
+def split_lines(
+    spark: SparkSession, path: str, out: str, schema: T.StructType = REVIEWS, keys: Sequence[str] = ("user_id", "business_id")
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The rows of a file and the lines that are none, written to ``out`` in one pass: (rows, lines, counts).
+
+    A line is bad that does not parse or lacks a key; ``lines`` has it as it stands, in the column ``line``.
+    ``counts`` holds n_rows (of the file) and n_bad.
+    """
+    # the parser needs the column for broken lines in its schema, or it takes what it can of them
+    parsed = F.from_json("value", T.StructType([*schema.fields, T.StructField("_broken", T.StringType())]), {"columnNameOfCorruptRecord": "_broken"})
+    rows = spark.read.text(path).withColumn("_row", parsed).select("value", "_row.*")
+    bad = F.coalesce(F.col("_broken").isNotNull() | _lacks(keys), F.lit(True))
+    kept = [F.when(~F.col("bad"), F.col(f.name)).alias(f.name) for f in schema.fields]
+    observation = Observation()
+    marked = rows.withColumn("bad", bad).observe(
+        observation, F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("bad"), 1)).alias("n_bad")
+    )
+    marked.select("bad", F.when(F.col("bad"), F.col("value")).alias("line"), *kept).write.partitionBy("bad").parquet(out)
+    whole = T.StructType([T.StructField("line", T.StringType()), *schema.fields, T.StructField("bad", T.BooleanType())])
+    written = spark.read.schema(whole).parquet(out)
+    return written.filter("NOT bad").select(*schema.names), written.filter("bad").select("line"), observation.get
 
 
 def count_bad_reviews(
@@ -64,15 +110,14 @@ def count_bad_reviews(
     """(n_rows, n_bad): how many lines lack a key or do not parse; what "drop" leaves out."""
     schema = T.StructType([f for f in REVIEWS.fields if f.name in columns])
     rows = spark.read.schema(schema).json(path)
-    bad = F.lit(False)
-    for c in columns:
-        bad = bad | F.col(c).isNull()
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(bad, 1)).alias("n_bad"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(_lacks(columns), 1)).alias("n_bad"))
 
 
-def read_test_pairs(spark: SparkSession, path: str, on_bad: str = "drop") -> DataFrame:
-    """(user_id, business_id) rows; repeats stay."""
-    return _read(spark, path, TEST_PAIRS, ["user_id", "business_id"], on_bad, "json")
+def read_test_pairs(
+    spark: SparkSession, path: str, on_bad: str = "drop", counts: Observation | None = None
+) -> DataFrame:
+    """(user_id, business_id) rows; repeats stay. ``counts`` tells how many were read and dropped."""
+    return _read(spark, path, TEST_PAIRS, ["user_id", "business_id"], on_bad, "json", counts)
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:

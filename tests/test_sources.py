@@ -1,8 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 
-from kindred.operators import text
+from kindred.operators import minhash, text
 from kindred.session import materialize
 from kindred.plans.collaborative import cf_train
 from kindred.sources import json_lines as io
@@ -99,3 +100,46 @@ def test_materialize_uses_the_folder_the_cluster_names(spark):
     kept = materialize(df)
     assert rows(kept) == rows(df)
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in kept.inputFiles())
+
+
+LINES = [
+    '{"user_id": "u1", "business_id": "b1", "stars": 4.0, "text": "good"}',
+    '{"user_id": "u2", "stars": 1.0}',
+    '{"user_id": "u3", "business_id": "b3"',
+    "",
+    "not json",
+    '{"user_id": "u4", "business_id": "b4", "stars": "many"}',
+    '{"user_id": "u5", "business_id": "b5", "more": 1}',
+]
+
+
+def test_dropped_test_pairs_are_counted_in_the_same_pass(spark, tmp_path):
+    path = tmp_path / "lines"
+    path.write_text("\n".join(LINES[:3] + LINES[5:]))
+    counts = Observation()
+    kept = io.read_test_pairs(spark, str(path), counts=counts)
+    assert rows(kept) == [("u1", "b1"), ("u4", "b4"), ("u5", "b5")]
+    assert counts.get == {"n_rows": 5, "n_bad": 2}
+    counts = Observation()
+    assert io.read_reviews(spark, str(path), ("user_id", "business_id"), "drop", counts).count() == 3
+    assert counts.get["n_bad"] == 2
+
+
+def test_bad_lines_are_kept_beside_the_rows(spark, tmp_path):
+    path = tmp_path / "lines"
+    path.write_text("\n".join(LINES))
+    good, bad, counts = io.split_lines(spark, str(path), str(tmp_path / "out"))
+    assert rows(good) == [("u1", "b1", 4.0, "good"), ("u5", "b5", None, None)]
+    assert sorted(r.line for r in bad.collect()) == sorted(LINES[1:6])
+    assert counts == {"n_rows": 7, "n_bad": 5}
+
+
+def test_candidates_are_counted_in_the_run_that_verifies_them(spark):
+    made = [(b, u) for b in range(12) for u in range(b, b + 6)]
+    members = spark.createDataFrame(made, "business_id long, user_id long")
+    family = minhash.hash_family(8, 1)
+    signatures = minhash.minhash_signatures(members, family=family)
+    for per_band in (1, 2):
+        counts = Observation()
+        found = minhash.similar_pairs_lsh(members, threshold=0.5, family=family, rows_per_band=per_band, start="buckets", counts=counts)
+        assert 0 < found.count() <= counts.get["n_candidates"] == minhash.lsh_pairs(signatures, "business_id", 8, per_band).count()
