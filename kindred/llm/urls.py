@@ -5,13 +5,14 @@ each as strong as the share of its pages. Trust follows the edges between hosts,
 them, both as personalised PageRank with restart. A host is blocked where its distrust exceeds its trust
 by a threshold; a page without a rule gets its host's verdict.
 
-Edges are the absolute links of the pages, once per pair of hosts, and a host is linked with its parent
-host (its name without the first label) if that has pages too. All is integer arithmetic, so sums do not
-depend on their order. Rounds go on until what is still to come to all hosts together is at most
-``TOLERANCE``, but for rounding; the SQL of ``oracle`` takes ``ROUNDS`` rounds from the whole seeds instead,
-which is the same only where hosts have no edges, as in the given tables. Pages are reduced to hosts and pairs of hosts before anything is shuffled twice;
-a round moves one row per edge, partially summed, and its join is split by adaptive execution where one
-host has very many edges.
+Edges are the links of the pages that name a host, once per pair of hosts, and those along a host's name:
+every host is linked both ways with its name without the first label, and so on down to two labels, whether
+or not these names have pages themselves. So ``blog.x.example.net`` and ``m.x.example.net`` meet, and all of
+``net`` does not. All is integer arithmetic, so sums do not depend on their order. Rounds go on until what is
+still to come to all hosts together is at most ``TOLERANCE``, but for rounding; the SQL of ``oracle`` takes
+``ROUNDS`` rounds. Pages are reduced to hosts and pairs of hosts before anything is shuffled twice; a round
+moves one row per edge, partially summed, and its join is split by adaptive execution where one host has very
+many edges.
 """
 
 from __future__ import annotations
@@ -38,14 +39,14 @@ RULES = [
     Rule("org", "/fr/", "allow"),
 ]
 UNIT = 100_000_000  # mass of a seed all of whose pages are seeds
-ROUNDS = 8  # of the SQL
+ROUNDS = 88  # of the SQL: 100 hosts' whole mass falls below TOLERANCE
 STEP = 4  # rounds between two looks at the change
 DAMPING = 85  # percent of a host's mass that goes on along its edges
 THRESHOLD = 7_500_000  # of distrust over trust: half of what a host keeps that is blocked as a whole
 TOLERANCE = THRESHOLD // 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPREAD = 16  # tasks that the pages of one host meet its verdict in
-LINK = r"""(?i)href\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'\s<>]+)"""
+LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -67,15 +68,21 @@ def rule_of(rules: list[Rule], host: Column, path: Column) -> Column:
 
 
 def host_edges(parts: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Distinct pairs src, dst of hosts: links of pages, and a host with its parent both ways."""
+    """Distinct pairs src, dst of hosts: links of pages, and a host with the shorter names it ends in both ways."""
     links = parts.select(
         F.col("host").alias("src"),
         F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), 1))).alias("dst"),
     ).select("src", F.translate("dst", UPPER, LOWER).alias("dst"))
-    parent = hosts.select("host", F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("parent"))
-    parent = parent.join(hosts.select(F.col("host").alias("parent")), "parent", "left_semi")
-    up = parent.select(F.col("host").alias("src"), F.col("parent").alias("dst"))
-    down = parent.select(F.col("parent").alias("src"), F.col("host").alias("dst"))
+    labels = F.split("host", r"\.")
+    at = F.sequence(F.lit(1), F.size("labels") - 2)
+    steps = hosts.select(labels.alias("labels")).filter(F.size("labels") > 2).select("labels", F.explode(at).alias("i"))
+
+    def name(start: Column) -> Column:
+        return F.concat_ws(".", F.slice("labels", start, F.size("labels")))
+
+    steps = steps.select(name(F.col("i")).alias("host"), name(F.col("i") + 1).alias("parent"))
+    up = steps.select(F.col("host").alias("src"), F.col("parent").alias("dst"))
+    down = steps.select(F.col("parent").alias("src"), F.col("host").alias("dst"))
     edges = links.unionByName(up).unionByName(down)
     return edges.filter("src <> dst AND src <> '' AND dst <> ''").distinct()
 
@@ -163,8 +170,8 @@ def oracle(rules: list[Rule] = RULES, rounds: int = ROUNDS, damping: int = DAMPI
     link = LINK.replace("'", "''")
     steps = "".join(
         f""",
-mass{i} AS (SELECT side, host, sum(mass)::BIGINT AS mass FROM (
-  SELECT side, host, mass * {100 - damping} // 100 AS mass FROM mass0
+mass{i} AS MATERIALIZED (SELECT side, host, sum(mass)::BIGINT AS mass FROM (
+  SELECT side, host, mass FROM mass0
   UNION ALL
   SELECT a.side, a.dst, (m.mass // d.degree) * {damping} // 100
   FROM arcs a JOIN mass{i - 1} m ON a.side = m.side AND a.src = m.host JOIN degrees d ON a.side = d.side AND a.src = d.src)
@@ -180,8 +187,10 @@ parts AS (SELECT *, {rule} AS rule, {verdict} AS found FROM cut),
 hosts AS (
   SELECT host, count(*) AS pages, count(*) FILTER (found = 'allow') AS allowed, count(*) FILTER (found = 'block') AS blocked
   FROM parts WHERE host <> '' GROUP BY host),
+names AS (SELECT string_split(host, '.') AS labels FROM hosts),
 parents AS (
-  SELECT h.host, p.host AS parent FROM hosts h JOIN hosts p ON regexp_extract(h.host, '^[^.]+\\.(.+)$', 1) = p.host),
+  SELECT array_to_string(labels[i:], '.') AS host, array_to_string(labels[i + 1:], '.') AS parent
+  FROM (SELECT labels, unnest(range(1, len(labels) - 1)) AS i FROM names)),
 edges AS (
   SELECT DISTINCT src, dst FROM (
     SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{UPPER}', '{LOWER}') AS dst FROM parts
@@ -190,8 +199,8 @@ edges AS (
 arcs AS (SELECT 0 AS side, src, dst FROM edges UNION ALL SELECT 1, dst, src FROM edges),
 degrees AS (SELECT side, src, count(*) AS degree FROM arcs GROUP BY ALL),
 mass0 AS (
-  SELECT 0 AS side, host, {UNIT} * allowed // pages AS mass FROM hosts WHERE allowed > 0
-  UNION ALL SELECT 1, host, {UNIT} * blocked // pages FROM hosts WHERE blocked > 0){steps},
+  SELECT 0 AS side, host, ({UNIT} * allowed // pages) * {100 - damping} // 100 AS mass FROM hosts WHERE allowed > 0
+  UNION ALL SELECT 1, host, ({UNIT} * blocked // pages) * {100 - damping} // 100 FROM hosts WHERE blocked > 0){steps},
 against AS (
   SELECT host FROM mass{rounds} GROUP BY host
   HAVING sum(CASE WHEN side = 1 THEN mass ELSE -mass END) > {threshold})
