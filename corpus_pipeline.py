@@ -1,6 +1,9 @@
 """The corpus pipeline: clean, classify, deduplicate and pack the documents, one operator a stage.
 
-Each stage reads all that its predecessor kept. All but the last return the columns of ``documents``.
+Each stage reads all that its predecessor kept. All but the last return the columns of ``documents``, and any
+further ones as they came, whatever their names. A null text is an empty one; ids may be null or repeat, and rows
+are told apart by id and text; repeated rows share every decision, and the join keeps one of them. Texts may be of
+any length. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from kindred.llm.tables import FIRST, KEY, Scratch, table, text_key
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """The documents as they are, with the operators' key of each row."""
+    """The operators' key of each row, and the row itself in ``_row``, where its columns clash with none."""
     key = text_key(F.col("text").cast("string"))
-    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)), "_key": key})
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("_id"), key.alias("_key"), F.struct("*").alias("_row"))
 
 
 def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -25,9 +28,9 @@ def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
     A null new text leaves the row as it is.
     """
     joined = _with_key(docs).join(texts.dropDuplicates(KEY), KEY)
-    length = F.when(F.col("new_text").isNull(), F.col("n_chars")).otherwise(F.length("new_text"))
-    changed = {"text": F.coalesce("new_text", "text"), "n_chars": length.cast("long")}
-    return joined.withColumns(changed).select(*docs.columns)
+    length = F.when(F.col("new_text").isNull(), F.col("_row.n_chars")).otherwise(F.length("new_text"))
+    row = F.col("_row").withField("text", F.coalesce("new_text", "_row.text")).withField("n_chars", length.cast("long"))
+    return joined.select(row.alias("_row")).select("_row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier, fitted on the labels of what is left, keeps."""
     found = classifier.classify(docs, table(spark, sf_dir, "labels"))
     kept = found.filter("kept").select(*KEY).distinct()
-    return _with_key(docs).join(kept, KEY, "left_semi").select(*docs.columns)
+    return _with_key(docs).join(kept, KEY, "left_semi").select("_row.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +54,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     alone = F.when(F.col("n_shingles") == 0, F.struct(*KEY))
     found = jaccard.join(docs).groupBy("class_id", alone).agg(F.min(F.struct(*KEY)).alias("first")).select("first.*")
-    return _with_key(docs).join(found, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
+    return _with_key(docs).join(found, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
