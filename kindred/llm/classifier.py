@@ -175,7 +175,7 @@ def fit(train: DataFrame, chosen: int = CHOSEN, sample: int = SAMPLE, hold: floa
         order = (F.conv(F.hex(F.substring("_key", 1, 4)), 16, 10).cast("long") - (1 << 31)).cast("int")
         turned = train.select("features", "good", F.xxhash64("_id", order).alias("turn"))
         bits = turned.mapInArrow(_bit_batches(buckets), "bits binary, good int, turn long")
-        rows = bits.orderBy("turn", "bits", "good").limit(sample).collect()
+        rows = _first(bits, n, sample).collect()
         x = np.unpackbits(np.frombuffer(b"".join(r.bits for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
         weights, offset = _logistic(x[:, : len(buckets)].astype(float), np.array([r.good for r in rows], bool), hold)
     else:
@@ -183,6 +183,21 @@ def fit(train: DataFrame, chosen: int = CHOSEN, sample: int = SAMPLE, hold: floa
     return Model(buckets, weights, offset, (n_good + 1) / (n + 2))
 
 
+def _first(bits: DataFrame, n: int, sample: int) -> DataFrame:
+    """The ``sample`` rows of ``bits`` (n rows) with the smallest turns, written, so that the driver reads no more.
+
+    Turns are hashes, so those below a threshold hold the sample and little else; it rises until they do.
+    """
+    scratch, share = Scratch(bits.sparkSession), (sample + 8 * sample**0.5 + 100) / n
+    while True:
+        likely = bits if share >= 1 else bits.filter(F.col("turn") < int(share * 2.0**64) - (1 << 63))
+        rows = scratch.keep(likely.orderBy("turn", "bits", "good").limit(sample))
+        if share >= 1 or rows.count() == sample:
+            return rows
+        scratch.drop(rows)
+        share *= 4
+
+
 def _strength(groups: DataFrame, mean: Column) -> float:
     """Beta strength of shares (good, n) around ``mean`` by moments: how far they spread beyond chance.
 

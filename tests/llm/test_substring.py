@@ -1,3 +1,4 @@
+import functools
 import hashlib
 from collections import Counter
 
@@ -9,6 +10,15 @@ from tests.llm.texts import blank_words, documents, frame
 
 
 def expected(docs, window):
+    return sorted((expected_row(docs, window, i) for i in range(len(docs))), key=repr)
+
+
+def expected_row(docs, window, at):
+    return _rows(tuple(docs), window)[at]
+
+
+@functools.cache
+def _rows(docs, window):
     words = [blank_words(t) for _, t in docs]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
     out = []
@@ -19,7 +29,7 @@ def expected(docs, window):
                 gone.update(range(i, i + window))
         kept = " ".join(x for i, x in enumerate(w) if i not in gone)
         out.append((doc_id, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    return sorted(out, key=repr)
+    return out
 
 
 @pytest.mark.parametrize("window, seed", [(35, 10), (12, 5), (3, 3)])
