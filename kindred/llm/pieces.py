@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,12 @@ from kindred.llm import bytesops as B
 from kindred.llm.tables import keyed
 
 MARK = "▁"
-MEMO = 200_000  # parts a worker remembers the paths of, up to twice as many, and as many pairs of pieces
+MEMO = 400_000  # parts a worker remembers the paths of, up to twice as many, and as many pairs of pieces
 PUNCTUATION = ".,;:!?#*$%&|"
+TAIL = 4  # last characters by which longer pieces are looked up
 LONG = 48  # characters from which a part is not remembered
 INFINITE = float("inf")
+START = (1 << 22) - 1  # stands for the piece before a text
 _TRANSDUCERS: dict[str, Transducer] = {}
 # Fixed values of the model format: kinds of pieces, kinds of models, and the weight of an unknown character.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -54,18 +57,21 @@ class Transducer:
             raise ValueError("only unigram and BPE models with byte fallback are supported")
         self.bpe, self.prefix = trainer.model_type == BPE, spec.add_dummy_prefix
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
+        self.size = len(proto.pieces)
+        if self.size + 0x110000 >= START:
+            raise ValueError("the model has too many pieces")
         self.scores = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values())
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.out = [p.piece.replace(MARK, " ").encode() if p.type == NORMAL else b"" for p in proto.pieces]
         for value, i in self.bytes.items():
             self.out[i] = bytes([value])
-        self.reach: dict[str, int] = {}  # length of the longest piece with these two last characters
+        self.reach: dict[str, int] = {}  # length of the longest piece with these last characters, ``TAIL`` of them
         for piece in self.ids:
-            end = piece[-2:]
-            self.reach[end] = max(self.reach.get(end, 1), len(piece))
+            end = piece[-TAIL:]
+            self.reach[end] = max(self.reach.get(end, 0), len(piece))
         self.cut = self._safe_cut()
-        self.fits: dict[tuple[str, str], float] = {}
+        self.fits: dict[int, float] = {}
         self.alone: dict[str, tuple[list[tuple[float, str, str]], bool]] = {}
         self.paths: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -143,50 +149,74 @@ class Transducer:
                 y, j = right[j][1], j + 1
             across = self.scores.get(x + y, -INFINITE)
 
-    def _weight(self, before: str, piece: str) -> float:
+    def _weight(self, before: str, piece: str, pair: int) -> float:
         """Of an arc in a BPE model, after the piece that leads to its start (empty: the start of the text)."""
         if len(self.fits) >= MEMO:
             self.fits = {}
         known = self._stay_apart(before, piece) if before else self._alone(piece)[1]
-        self.fits[before, piece] = weight = 0.0 if known else INFINITE
+        self.fits[pair] = weight = 0.0 if known else INFINITE
         return weight
 
-    def shortest(self, text: str) -> list[str]:
-        """Pieces of the path of least weight; characters without a piece stand for themselves.
+    def _starts(self, text: str, end: int) -> range:
+        """Where an arc into ``end`` may start, the longest first."""
+        reach = self.reach.get(text[end - TAIL : end] if end > TAIL else text[:end], TAIL - 1)
+        return range(end - reach if end > reach else 0, end)
 
-        Of each place the best way in is kept. In a BPE model the first finite way in is the only one.
+    def shortest(self, text: str) -> list[int]:
+        """Pieces of the path of least weight, by id; a character without a piece is its code point behind all ids.
+
+        Of each place the best way in is kept.
         """
-        weight = [0.0] + [INFINITE] * len(text)
-        last = [""] * (len(text) + 1)
-        ids, bpe = self.ids, self.bpe
+        if self.bpe:
+            return self._only_path(text)
+        weight, last, way = [0.0] + [INFINITE] * len(text), [0] * (len(text) + 1), [0] * (len(text) + 1)
         for end in range(1, len(text) + 1):
-            reach = self.reach.get(text[end - 2 : end] if end > 1 else text[0], 1)
-            for start in range(end - reach if end > reach else 0, end):
-                piece = text[start:end]
-                if piece not in ids and end - start > 1:
+            for start in self._starts(text, end):
+                piece = self.ids.get(text[start:end])
+                if piece is None and end - start > 1:
                     continue
-                if bpe:
-                    arc = self.fits.get((last[start], piece))
-                    if arc is None:
-                        arc = self._weight(last[start], piece)
-                    if arc == 0.0:
-                        weight[end], last[end] = 0.0, piece
-                        break
-                else:
-                    total = weight[start] - self.scores.get(piece, -self.unknown_weight)
-                    if total < weight[end]:
-                        weight[end], last[end] = total, piece
-        pieces, at = [], len(text)
+                total = weight[start] - self.scores.get(text[start:end], -self.unknown_weight)
+                if total < weight[end]:
+                    weight[end], way[end] = total, start
+                    last[end] = self.size + ord(text[start]) if piece is None else piece
+        return self._back(last, way)
+
+    def _only_path(self, text: str) -> list[int]:
+        """The path of a BPE model: the first finite way into a place is the only one."""
+        known, fits, reaches, size = self.ids.get, self.fits.get, self.reach.get, self.size
+        last, way = [0] * (len(text) + 1), [0] * (len(text) + 1)
+        last[0] = START
+        for end in range(1, len(text) + 1):
+            reach = reaches(text[end - TAIL : end] if end > TAIL else text[:end], TAIL - 1)
+            for start in range(end - reach if end > reach else 0, end):
+                piece = known(text[start:end])
+                if piece is None:
+                    if end - start > 1:
+                        continue
+                    piece = size + ord(text[start])
+                pair = last[start] << 22 | piece
+                arc = fits(pair)
+                if arc is None:
+                    arc = self._weight(text[way[start] : start], text[start:end], pair)
+                    fits = self.fits.get
+                if arc == 0.0:
+                    last[end], way[end] = piece, start
+                    break
+        return self._back(last, way)
+
+    @staticmethod
+    def _back(last: list[int], way: list[int]) -> list[int]:
+        pieces, at = [], len(last) - 1
         while at:
             pieces.append(last[at])
-            at -= len(last[at])
+            at = way[at]
         return pieces[::-1]
 
     def _ids(self, part: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.shortest(part):
-            ids += [self.ids[piece]] if piece in self.ids else [self.bytes[b] for b in piece.encode()]
-        return np.array(ids, "<u4").tobytes()
+        pieces = self.shortest(part)
+        if max(pieces) >= self.size:  # byte fallback
+            pieces = [i for p in pieces for i in ([p] if p < self.size else [self.bytes[b] for b in chr(p - self.size).encode()])]
+        return array("I", pieces).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
