@@ -64,3 +64,9 @@ def test_unigram_models(text):
 
 def test_empty_table(spark):
     assert rows(pieces.encode(frame(spark, []), PATH)) == []
+
+
+@pytest.mark.parametrize("text", [" " * 300_000, "\n" * 300_000, "a" * 300_000, " \n" * 150_000])
+def test_long_runs_equal_the_library(text):
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert np.frombuffer(pieces.Transducer.of(PATH).encode(text), "<u4").tolist() == library.encode(text)
