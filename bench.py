@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -33,7 +34,7 @@ HEADLINES = [
 ]
 
 
-def main() -> None:
+def main(scratch: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
@@ -44,6 +45,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", scratch)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,4 +63,5 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    with tempfile.TemporaryDirectory(prefix="kindred-bench-") as folder:
+        main(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -40,9 +41,9 @@ def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None
     return f"types {types}" if types else None
 
 
-def main(argv: list[str]) -> int:
+def main(argv: list[str], scratch: str) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, checkpoint_dir=scratch)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
@@ -59,4 +60,5 @@ def main(argv: list[str]) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(main(sys.argv[1:]))
+    with tempfile.TemporaryDirectory(prefix="kindred-compare-") as folder:
+        sys.exit(main(sys.argv[1:], folder))

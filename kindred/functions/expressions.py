@@ -26,7 +26,7 @@ def words(text: Column, newline_as_space: bool = False) -> Column:
 def linear_hash(value: Column, a: Column, b: Column, prime: int, buckets: Column | None = None) -> Column:
     """((a * value + b) mod prime) mod buckets; the last step is left out without buckets.
 
-    With a, b and value below 2^31 the product stays within a long.
+    With a, b and value below 2^31 the product stays within a long; a larger value is reduced by the prime before.
     """
     hashed = (a * value + b) % F.lit(prime).cast("long")
     return hashed if buckets is None else hashed % buckets

@@ -93,7 +93,9 @@ def minhash(
     large = heavy_hitters(count_by(coded, entity) if weights is None else weights, [entity], chunk)
     pieces = F.broadcast(large.select(entity, F.ceil(F.col("n") / chunk).cast("int").alias("_pieces")))
     piece = F.pmod(F.xxhash64("idx"), F.coalesce("_pieces", F.lit(1))).cast("int")
-    cut = coded.join(pieces, entity, "left").select(entity, piece.alias("_piece"), "idx").repartition(entity, "_piece")
+    # below the prime, so that a product with a coefficient stays within a long for any number of ids
+    reduced = (F.col("idx") % F.lit(prime).cast("long")).alias("idx")
+    cut = coded.join(pieces, entity, "left").select(entity, piece.alias("_piece"), reduced).repartition(entity, "_piece")
     parts = cut.groupBy(entity, "_piece").agg(*[F.min(h).alias(n) for h, n in zip(hashes, names)])
     whole = parts.groupBy(entity).agg(*[F.min(n).alias(n) for n in names])
     return whole.select(entity, F.array(*names).cast("array<long>").alias("signature"))

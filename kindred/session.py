@@ -9,12 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(master: str | None = None, app: str = "kindred", shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    master: str | None = None,
+    app: str = "kindred",
+    shuffle_partitions: int | None = None,
+    checkpoint_dir: str | None = None,
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -25,12 +32,12 @@ def get_session(master: str | None = None, app: str = "kindred", shuffle_partiti
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; only a single local process may go without."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="kindred-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kindred-checkpoint-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
