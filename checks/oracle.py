@@ -251,3 +251,13 @@ UNION ALL SELECT 'user', NULL::BIGINT, user_id, rank - 1, word FROM usr""",
     "content_scores": f"{_SCORES} SELECT user_id, business_id, sim FROM scores",
     "content_predict": f"{_SCORES} SELECT user_id, business_id, sim FROM scores WHERE sim >= 0.01",
 }
+ORACLE |= {
+    "similar_pairs_hot": ORACLE["similar_pairs_exact"],
+    "cooccurrence_pairs_hot": ORACLE["cooccurrence_pairs"],
+    "pair_moments_hot": ORACLE["pair_moments"],
+    "user_cf_model_lsh_banded": f"""{_LATEST}, {_family('fam', USER_FAMILY)},
+{_signatures('sig', 'user_id', 'business_id', 'fam', bucketed=False)}, {_meetings('met', 'sig', 'user_id', 2)}, {_user_model('latest')}
+SELECT k1 AS u1, k2 AS u2, sim FROM model JOIN met ON a = k1 AND b = k2""",
+    "item_cf_predict_ranked": ORACLE["item_cf_predict"],
+    "user_cf_predict_ranked": ORACLE["user_cf_predict"],
+}

@@ -19,6 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Signature hashes of the item and the user queries; the checking SQL inlines the same tables.
 ITEM_FAMILY = minhash.hash_family(minhash.ITEM_HASHES, seed=20260801)
 USER_FAMILY = minhash.hash_family(minhash.USER_HASHES, seed=20260802)
+LOW_FLOOR = 48
+LOW_CHUNK = 10
 # Values the operators have not rounded are rounded once, for the comparison.
 DIGITS = 6
 
@@ -90,6 +92,23 @@ def pearson_pairs(spark, sf_dir):
     return sims.withColumnsRenamed({"a": "b1", "b": "b2"})
 
 
+# The same with floors that the given tables reach: many users are hot, and many lists are long.
+
+
+def similar_pairs_hot(spark, sf_dir):
+    return pairs.similar_pairs(_members(spark, sf_dir), hot_floor=LOW_FLOOR)
+
+
+def cooccurrence_pairs_hot(spark, sf_dir):
+    shared = pairs.overlap_pairs(_members(spark, sf_dir), "business_id", "user_id", min_overlap=3, hot_floor=LOW_FLOOR)
+    return shared.select(F.col("a").alias("b1"), F.col("b").alias("b2"), "n")
+
+
+def pair_moments_hot(spark, sf_dir):
+    moments = pairs.pair_moments(_latest(spark, sf_dir), hot_floor=LOW_FLOOR)
+    return moments.withColumnsRenamed({"a": "b1", "b": "b2"})
+
+
 # -- MinHash and LSH -----------------------------------------------------------------------------
 
 
@@ -144,6 +163,11 @@ def user_cf_model_lsh(spark, sf_dir):
     return neighbours.user_cf_model_lsh(inputs.ratings(spark, sf_dir), ORDER, USER_FAMILY)
 
 
+def user_cf_model_lsh_banded(spark, sf_dir):
+    ratings = inputs.ratings(spark, sf_dir)
+    return neighbours.user_cf_model_lsh(ratings, ORDER, USER_FAMILY, rows_per_band=2, bucketed=False)
+
+
 # -- collaborative filtering ---------------------------------------------------------------------
 
 
@@ -155,16 +179,16 @@ def user_cf_model_exact(spark, sf_dir):
     return neighbours.user_cf_model_exact(inputs.ratings(spark, sf_dir), ORDER)
 
 
-def _item_predictions(spark, sf_dir):
+def _item_predictions(spark, sf_dir, **options):
     train = inputs.train(spark, sf_dir)
     model = materialize(neighbours.item_cf_model(train, ORDER))
-    return neighbours.item_cf_predict(inputs.test(spark, sf_dir), train, model)
+    return neighbours.item_cf_predict(inputs.test(spark, sf_dir), train, model, **options)
 
 
-def _user_predictions(spark, sf_dir):
+def _user_predictions(spark, sf_dir, **options):
     train = inputs.train(spark, sf_dir)
     model = materialize(neighbours.user_cf_model_exact(train, ORDER))
-    return neighbours.user_cf_predict(inputs.test(spark, sf_dir), train, model, ORDER)
+    return neighbours.user_cf_predict(inputs.test(spark, sf_dir), train, model, ORDER, **options)
 
 
 def item_cf_predict(spark, sf_dir):
@@ -175,6 +199,14 @@ def user_cf_predict(spark, sf_dir):
     return _rounded(_user_predictions(spark, sf_dir), "stars")
 
 
+def item_cf_predict_ranked(spark, sf_dir):
+    return _rounded(_item_predictions(spark, sf_dir, chunk=LOW_CHUNK), "stars")
+
+
+def user_cf_predict_ranked(spark, sf_dir):
+    return _rounded(_user_predictions(spark, sf_dir, chunk=LOW_CHUNK), "stars")
+
+
 def item_cf_rmse(spark, sf_dir):
     return _rounded(evaluate.rmse(_item_predictions(spark, sf_dir), inputs.test(spark, sf_dir)), "rmse")
 
@@ -263,6 +295,9 @@ QUERIES: dict[str, Query] = {
         supported_ratings,
         pair_moments,
         pearson_pairs,
+        similar_pairs_hot,
+        cooccurrence_pairs_hot,
+        pair_moments_hot,
         encode_ids,
         minhash_signatures,
         lsh_candidates,
@@ -273,10 +308,13 @@ QUERIES: dict[str, Query] = {
         similar_pairs_lsh_banded,
         lsh_precision_recall,
         user_cf_model_lsh,
+        user_cf_model_lsh_banded,
         item_cf_model,
         user_cf_model_exact,
         item_cf_predict,
         user_cf_predict,
+        item_cf_predict_ranked,
+        user_cf_predict_ranked,
         item_cf_rmse,
         user_cf_rmse,
         review_tokens,
