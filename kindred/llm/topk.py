@@ -1,13 +1,13 @@
 """Exact top-k search by inner product, block at a time.
 
-The rows lie in blocks of consecutive ids. A component of a vector is a term; a block keeps the largest
-and smallest value of each, and the sum of what these allow bounds the score of any of its rows. Each
-query first scores the ``FIRST`` blocks of the highest bounds through their forward index, the matrix
-of the block. Its k-th score so far is a floor: a block whose bound lies below it cannot change the
-result, and all others are scored.
-
-Queries travel in packs, so a (pack, block) pair is one row and its scores are one matrix product. Packs
-and blocks meet in groups of blocks by an equality join; per pair only the best k of each query go on.
+Rows are sorted by the nearest of ``PIVOTS`` rows and cut into blocks. A component of a vector is a term; a block keeps
+the largest and smallest value of each, and the sum of what these allow bounds the score of any of its rows. Every
+query first scores its own block, whose k-th score is its floor. Then it takes the other blocks by falling bound and
+scores them through their forward index, the matrix of the block; each k-th score raises the floor, and the first
+bound below it ends the search.
+
+Blocks travel in groups and queries in packs. A group of blocks and a part of the packs meet in one task by an
+equality join, and only the best k of each query go on; no row is made for a query and a block.
 """
 
 from __future__ import annotations
@@ -25,13 +25,16 @@ from kindred.llm.tables import Scratch
 K = 5
 BLOCK = 1024
 PACK = 256
-FIRST = 2
+FIRST = 2  # blocks a query scores between two looks at its floor
+GROUP = 64  # blocks that meet packs in one task
+PACKS = 64  # packs that meet them there
+PIVOTS = 64
 SCALE = 256
 EVERY = 50
 LIMIT = 1 << 53  # below this, sums of products are exact as doubles
 
 _BLOCKS = "block long, n int, d int, ids binary, vectors binary, most binary, least binary"
-_PACKS = "pack long, n int, d int, ids binary, places binary, vectors binary"
+_PACKS = "pack long, n int, d int, ids binary, places binary, floors array<long>, vectors binary"
 
 
 def _matrix(raw: bytes, n: int, d: int) -> np.ndarray:
@@ -75,27 +78,60 @@ def _block_batches(size: int):
     return run
 
 
-def _pack_batches(every: int, size: int):
-    schema = pa.schema([("pack", pa.int64()), ("n", pa.int32()), ("d", pa.int32())] + [(c, pa.binary()) for c in ("ids", "places", "vectors")])
+def _cell_batches(pivots: np.ndarray):
+    """The nearest pivot of each vector, so that close vectors come to lie in the same blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                _, matrix = next(_packed(iter([part]), part.num_rows))
+                d = max(matrix.shape[1], pivots.shape[1])
+                x, y = (np.pad(m.astype(float), ((0, 0), (0, d - m.shape[1]))) for m in (matrix, pivots))
+                cells.append(((y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)).argmin(axis=1).astype(np.int32))
+            cell = pa.array(np.concatenate(cells) if cells else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([cell, batch.column("vec_id"), batch.column("vector")], names=["cell", "vec_id", "vector"])
+
+    return run
+
+
+def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The ``k`` best of (-score, id), ascending."""
+    if len(scores) > 4 * k and scores.dtype != object:
+        at = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+        scores, ids = scores[at], ids[at]
+    return sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist()))[:k]
+
+
+def _pack_batches(every: int, size: int, k: int):
+    """Packs of queries with where each stands and its ``k``-th score within its own block, if that has so many."""
+    schema = pa.schema(
+        [("pack", pa.int64()), ("n", pa.int32()), ("d", pa.int32()), ("ids", pa.binary()), ("places", pa.binary())]
+        + [("floors", pa.list_(pa.int64())), ("vectors", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number = TaskContext.get().partitionId() << 32, 0
-        held: list[tuple[int, tuple[int, int], np.ndarray]] = []
+        held: list[tuple[int, tuple[int, int], int | None, np.ndarray]] = []
 
         def packed():
-            d = max(len(v) for _, _, v in held)
-            vectors = np.zeros((len(held), d), np.int64)
-            for i, (_, _, v) in enumerate(held):
-                vectors[i, : len(v)] = v
+            vectors = np.zeros((len(held), max(len(h[-1]) for h in held)), np.int64)
+            for i, h in enumerate(held):
+                vectors[i, : len(h[-1])] = h[-1]
             ids, places = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.int64)
-            row = [base + number, len(held), d, ids.tobytes(), places.tobytes(), vectors.tobytes()]
+            row = [base + number, *vectors.shape, ids.tobytes(), places.tobytes(), [h[2] for h in held], vectors.tobytes()]
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
 
         for batch in batches:
             for row in batch.to_pylist():
                 ids, matrix = np.frombuffer(row["ids"], np.int64), _matrix(row["vectors"], row["n"], row["d"])
-                for at in np.flatnonzero(ids % every == 0).tolist():
-                    held.append((int(ids[at]), (row["block"], at), matrix[at]))
+                queries = np.flatnonzero(ids % every == 0)
+                scores = _exact(matrix[queries], matrix.T)
+                for i, at in enumerate(queries.tolist()):
+                    best = _top(np.delete(scores[i], at), np.delete(ids, at), k)
+                    floor = -best[-1][0] if len(best) == k and abs(best[-1][0]) < 1 << 63 else None
+                    held.append((int(ids[at]), (row["block"], at), floor, matrix[at]))
                     if len(held) == size:
                         yield packed()
                         held, number = [], number + 1
@@ -118,64 +154,69 @@ def _exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left @ right
 
 
-def _bound_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            queries = _matrix(row["vectors"], row["n"], row["d"])
-            most, least = (np.frombuffer(row[k], np.int64)[:, None] for k in ("most", "least"))
-            bound = _exact(np.maximum(queries, 0), most) + _exact(np.minimum(queries, 0), least)
-            if bound.dtype == object:
-                bound = np.clip(bound, -(1 << 63), (1 << 63) - 1)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "pack": pa.array([row["pack"]]),
-                    "block": pa.array([row["block"]]),
-                    "bounds": pa.array([bound.ravel().tolist()], pa.list_(pa.int64())),
-                }
-            )
-
+def _search_pack(row: dict, blocks: list[tuple[int, np.ndarray, np.ndarray]], most, least, k: int, step: int):
+    """The best of each query of a pack among the blocks of a group, and how many blocks were scored for them.
 
-def _score_batches(k: int):
-    """Best ``k`` rows of the block for each wanted query of the pack, or all where there are fewer."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                queries = _matrix(row["vectors"], row["n"], row["d"])
-                wanted = np.array(row["wanted"], np.int64)
-                if not len(wanted):
-                    continue
-                block_ids = np.frombuffer(row["block_ids"], np.int64)
-                matrix = _matrix(row["block_vectors"], len(block_ids), row["block_d"])
-                scores = _exact(queries[wanted], matrix.T)
-                places = np.frombuffer(row["places"], np.int64).reshape(-1, 2)[wanted]
-                query_ids = np.frombuffer(row["ids"], np.int64)[wanted]
-                out: list[list[np.ndarray]] = [[], [], [], []]
-                for i in range(len(wanted)):
-                    others = np.arange(len(block_ids))
-                    if places[i, 0] == row["block"]:
-                        others = np.delete(others, places[i, 1])
-                    if scores.dtype == object:
-                        best = np.array(sorted(others, key=lambda j: (-scores[i, j], block_ids[j]))[:k], np.int64)
-                    else:
-                        best = others[np.lexsort((block_ids[others], -scores[i, others]))[:k]]
-                    out[0].append(np.full(len(best), wanted[i]))
-                    out[1].append(np.full(len(best), query_ids[i]))
-                    out[2].append(block_ids[best])
-                    out[3].append(scores[i, best])
-                columns = [pa.array(np.concatenate(c).tolist(), pa.int64()) for c in out]
-                pack = pa.array(np.full(len(columns[0]), row["pack"]))
-                yield pa.RecordBatch.from_arrays([pack, *columns], names=["pack", "place", "query_id", "vec_id", "score"])
+    A query takes its blocks by falling bound, ``step`` at a time, and stops at the first one below its floor: the
+    greater of that from its own block and the ``k``-th score here so far. A block equal to it may hold a smaller id.
+    """
+    queries = _matrix(row["vectors"], row["n"], row["d"])
+    places = np.frombuffer(row["places"], np.int64).reshape(-1, 2)
+    bound = _exact(np.maximum(queries, 0), most) + _exact(np.minimum(queries, 0), least)
+    order = np.argsort(-bound, axis=1, kind="stable")
+    floors: list[int | None] = list(row["floors"])
+    best: list[list[tuple[int, int]]] = [[] for _ in floors]
+    active, scored = list(range(len(floors))), 0
+    for first in range(0, len(blocks), step):
+        wanted: dict[int, list[int]] = {}
+        still = []
+        for i in active:
+            for b in order[i, first : first + step].tolist():
+                if floors[i] is not None and bound[i, b] < floors[i]:
+                    break
+                wanted.setdefault(b, []).append(i)
+            else:
+                still.append(i)
+        for b, sel in wanted.items():
+            number, ids, matrix = blocks[b]
+            scores = _exact(queries[sel], matrix.T)
+            scored += len(sel)
+            for i, mine in zip(sel, scores):
+                at = np.arange(len(ids)) if floors[i] is None else np.flatnonzero(mine >= floors[i])
+                if places[i, 0] == number:
+                    at = at[at != places[i, 1]]
+                if len(at):
+                    best[i] = sorted(best[i] + _top(mine[at], ids[at], k))[:k]
+                    if len(best[i]) == k:
+                        floors[i] = max(-best[i][-1][0], floors[i]) if floors[i] is not None else -best[i][-1][0]
+        active = still
+        if not active:
+            break
+    return best, scored
+
+
+def _group_table(k: int, step: int):
+    """Rows of the best by pack and place; one with place -1 says how many of how many (query, block) were scored."""
+    schema = pa.schema([(c, pa.int64()) for c in ("pack", "place", "query_id", "vec_id", "score")])
+
+    def run(packs: pa.Table, group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        blocks = [(r["block"], np.frombuffer(r["ids"], np.int64), _matrix(r["vectors"], r["n"], r["d"])) for r in rows]
+        most, least = np.zeros((2, max((r["d"] for r in rows), default=1), len(rows)), np.int64)
+        for i, r in enumerate(rows):  # where a vector is shorter it counts as filled up with zeros
+            most[: r["d"], i], least[: r["d"], i] = (np.frombuffer(r[c], np.int64) for c in ("most", "least"))
+        out: list[tuple] = []
+        for row in packs.to_pylist() if rows else []:
+            best, scored = _search_pack(row, blocks, most, least, k, step)
+            ids = np.frombuffer(row["ids"], np.int64).tolist()
+            out += [(row["pack"], p, ids[p], j, -s) for p, found in enumerate(best) for s, j in found]
+            out.append((row["pack"], -1, None, scored, len(rows) * row["n"]))
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 5)], schema=schema)
 
     return run
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("pack", "place").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def search(
+def find(
     vectors: DataFrame,
     k: int = K,
     every: int = EVERY,
@@ -183,14 +224,11 @@ def search(
     pack: int = PACK,
     first: int = FIRST,
     scale: int = SCALE,
+    group: int = GROUP,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score of the ``k`` highest scores of every query, ties to the smaller vec_id.
+    """What the groups of blocks give: pack, place, query_id, vec_id, score, as :func:`search` ranks them.
 
-    Components x become floor(scale * x), and a score is the integer inner product; where lengths differ
-    the shorter vector counts as filled up with zeros. Queries are the rows whose vec_id is divisible by
-    ``every``; candidates are all other rows, also those with the same id. Rows with a null id, a null
-    vector, or a null or non-finite component take no part. A result
-    score beyond 64 bits raises an error.
+    Rows with place -1 tell for a pack and group how many (query, block) were scored (vec_id) of how many (score).
     """
     scratch = Scratch(vectors.sparkSession)
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -198,45 +236,59 @@ def search(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long")).alias("vector"),
     )
+    turn = F.xxhash64("vec_id", "vector")
+    pivots = [r.vector for r in scratch.keep(valid.orderBy(turn, "vec_id", "vector").limit(PIVOTS)).collect()]
+    pivots = _filled([0] * len(pivots), [np.array(v, np.int64) for v in pivots])[1] if pivots else np.zeros((1, 1))
     # the row number only spreads rows of one id; the blocks are written before anything reads them
     tasks = -(-valid.count() // (8 * block)) or 1
-    ranged = valid.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(tasks, "vec_id", "row")
+    celled = valid.mapInArrow(_cell_batches(pivots), "cell int, vec_id long, vector array<long>")
+    order = ["cell", "vec_id", "row"]
+    ranged = celled.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(tasks, *order)
     blocks = scratch.keep(
-        ranged.sortWithinPartitions("vec_id", "row").select("vec_id", "vector").mapInArrow(_block_batches(block), _BLOCKS)
+        ranged.sortWithinPartitions(*order).select("vec_id", "vector").mapInArrow(_block_batches(block), _BLOCKS)
     )
     fewer = max(1, 8 * block * tasks // (every * pack))
     packs = scratch.keep(
-        blocks.select("block", "n", "d", "ids", "vectors").coalesce(fewer).mapInArrow(_pack_batches(every, pack), _PACKS)
-    )
-    groups = max(1, blocks.count() // 64)
-    group = F.pmod(F.xxhash64("block"), F.lit(groups)).alias("group")
-    every_group = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group")
-    spread = packs.select("pack", "n", "d", "vectors", every_group)
-    bounds = scratch.keep(
-        spread.join(blocks.select("block", "most", "least", group), "group")
-        .drop("group")
-        .repartition("pack", "block")
-        .mapInArrow(_bound_batches, "pack long, block long, bounds array<long>")
+        blocks.select("block", "n", "d", "ids", "vectors").coalesce(fewer).mapInArrow(_pack_batches(every, pack, k), _PACKS)
     )
-    each = bounds.select("pack", "block", F.posexplode("bounds").alias("place", "bound"))
-    leading = Window.partitionBy("pack", "place").orderBy(F.desc("bound"), "block")
-    ahead = each.withColumn("at", F.row_number().over(leading)).filter(F.col("at") <= first)
-
-    def scored(wanted: DataFrame) -> DataFrame:
-        pairs = wanted.groupBy("pack", "block").agg(F.collect_list("place").alias("wanted"))
-        forward = blocks.select("block", F.col("d").alias("block_d"), F.col("ids").alias("block_ids"), F.col("vectors").alias("block_vectors"))
-        return (
-            pairs.join(packs, "pack")
-            .join(forward, "block")
-            .mapInArrow(_score_batches(k), "pack long, place long, query_id long, vec_id long, score long")
-        )
-
-    start = scratch.keep(_best(scored(ahead), k).drop("rank"))
-    floors = start.groupBy("pack", "place").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
-    rest = (
-        each.join(floors, ["pack", "place"], "left")
-        .join(ahead.select("pack", "place", "block"), ["pack", "place", "block"], "left_anti")
-        .filter((F.coalesce("n", F.lit(0)) < k) | (F.col("bound") >= F.col("floor")))
+    # groups of blocks and parts of packs: each pair of these meets in one task, whose memory both bound
+    groups, parts = -(-blocks.count() // group) or 1, -(-packs.count() // PACKS) or 1
+
+    def each(n: int, name: str):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+    part, place = F.pmod(F.xxhash64("pack"), F.lit(parts)).cast("int"), F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")
+    left = packs.select("*", part.alias("part"), each(groups, "grouped")).groupBy("part", "grouped")
+    right = blocks.select("*", place.alias("grouped"), each(parts, "part")).groupBy("part", "grouped")
+    return left.cogroup(right).applyInArrow(
+        _group_table(k, first), "pack long, place long, query_id long, vec_id long, score long"
     )
-    found = start.unionByName(scored(rest.select("pack", "place", "block")))
-    return _best(found, k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(
+    vectors: DataFrame,
+    k: int = K,
+    every: int = EVERY,
+    block: int = BLOCK,
+    pack: int = PACK,
+    first: int = FIRST,
+    scale: int = SCALE,
+    group: int = GROUP,
+) -> DataFrame:
+    """query_id, rank, vec_id, score of the ``k`` highest scores of every query, ties to the smaller vec_id.
+
+    Components x become floor(scale * x), and a score is the integer inner product; where lengths differ
+    the shorter vector counts as filled up with zeros. Queries are the rows whose vec_id is divisible by
+    ``every``; candidates are all other rows, also those with the same id. Rows with a null id, a null
+    vector, or a null or non-finite component take no part. Repeated rows are rows of their own. Other columns
+    are ignored, whatever their names; an empty table gives no rows. A result score beyond 64 bits raises an error.
+    """
+    found = find(vectors, k, every, block, pack, first, scale, group).filter("place >= 0")
+    order = Window.partitionBy("pack", "place").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def scored_share(found: DataFrame) -> float:
+    """Which part of all (query, block) pairs of a result of :func:`find` was scored; the bounds ruled out the rest."""
+    scored, pairs = found.filter("place < 0").agg(F.sum("vec_id"), F.sum("score")).first()
+    return (scored or 0) / (pairs or 1)

@@ -53,3 +53,32 @@ def test_empty_table(spark):
 def test_large_components(spark):
     data = [(0, [2.0**40, 1.0]), (1, [-(2.0**2), 3.0]), (2, [2.0**3 + 0.25, 3.0])]
     assert rows(topk.search(frame(spark, data))) == expected(data)
+
+
+def clustered(n, d=16, centres=12, seed=3):
+    rng = random.Random(seed)
+    middle = [[rng.gauss(0, 4) for _ in range(d)] for _ in range(centres)]
+    out = []
+    for i in range(n):
+        c = rng.choice(middle)
+        out.append((i, [math.ldexp(round((x + rng.gauss(0, 0.2)) * 256), -8) for x in c]))
+    return out
+
+
+@pytest.mark.parametrize("first, group", [(1, 64), (2, 3), (50, 1)])
+def test_bounds_rule_blocks_out_on_clustered_vectors(spark, first, group):
+    data = clustered(1500)
+    options = {"block": 32, "pack": 8, "first": first, "group": group}
+    assert rows(topk.search(frame(spark, data), **options)) == expected(data)
+    assert topk.scored_share(topk.find(frame(spark, data), **options)) < (0.5 if first < 50 else 1)
+
+
+def test_ties_at_the_floor_go_to_the_smaller_id(spark):
+    data = [(i, [1.0, 0.0]) for i in range(200)] + [(i, [0.5, 1.0]) for i in range(200, 260)]
+    assert rows(topk.search(frame(spark, data), block=8, pack=2, first=1)) == expected(data)
+
+
+def test_no_row_for_a_query_and_a_block(spark):
+    data = clustered(1500)
+    found = topk.find(frame(spark, data), block=32, pack=8).groupBy("pack", "place").count().filter("place >= 0")
+    assert found.agg({"count": "max"}).first()[0] <= 5 * (1500 // 32 // topk.GROUP + 1)
