@@ -233,8 +233,9 @@ def classify(
     """Every row of ``docs`` by doc_id (and _id, _key) with its evidence, its site's share, p_good and kept.
 
     Fitted on all rows of ``labels`` (doc_id, quality, toxic) whose document is there. Texts that are null
-    or empty have no words; their evidence is that of their shape. Ids may be null or repeat. Without
-    labels every share is a half and everything is kept.
+    or empty have no words; their evidence is that of their shape. Ids may be null or repeat; rows of one id share
+    its label. Texts may be of any length and other columns are ignored, whatever their names. Without
+    labels every share is a half and everything is kept; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     features = featurise(docs, scratch, host, path)

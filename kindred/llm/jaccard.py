@@ -318,6 +318,8 @@ def join(
     the smallest number of a connected group, which is the smallest doc_id in it where ids are unique
     and not null (the group of a null id is numbered as the lowest). copy_id is the same for rows with
     equal sets. Rows without words have no links and are a class of their own (class_id: their id).
+    Null texts are empty and repeated rows copies. Texts may be of any length, other columns are ignored, whatever
+    their names, and an empty table gives no rows.
     """
     scratch, n_hashes = Scratch(docs.sparkSession), bands * rows
     floors = posterior_floor(threshold, tolerance, n_hashes, STEP)

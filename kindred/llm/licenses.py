@@ -279,7 +279,8 @@ def scan(
 
     Words are runs of digits, letters (A-Z as a-z) and bytes of wider characters. ``n_base`` counts the
     places of phrases, ``labels`` adds those of templates of which a chain covers ``min_share``. The
-    score is 1 with a phrase, else the largest share. A null text is empty; other columns are ignored.
+    score is 1 with a phrase, else the largest share. A null text is empty; ids may be null or repeat, and every row is judged by itself. Texts
+    may be of any length, other columns are ignored, whatever their names, and an empty table gives no rows.
     """
     schema = (
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "

@@ -247,7 +247,8 @@ def pack_documents(
     """All pieces of ``docs`` (doc_id, text) with sequence_id and offset, and their ids if wanted.
 
     Columns doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids). A null text is an
-    empty one, which is the id ``end`` alone; ids may be null or repeat; other columns are ignored.
+    empty one, which is the id ``end`` alone; ids may be null or repeat, and repeated rows are packed as often. Texts may
+    be of any length, other columns are ignored, whatever their names, and an empty table gives no rows.
     With ``added`` the ids are the tokenizer's by default; without it an added token is ordinary text.
     """
     scratch = Scratch(docs.sparkSession)

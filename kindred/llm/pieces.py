@@ -266,7 +266,9 @@ def encode(docs: DataFrame, path: str, want_ids: bool = True) -> DataFrame:
     """Every row of ``docs`` by doc_id: number and crc of its ids, the hash of what they decode to, and
     whether that is the text again (marks in it read as spaces); with ``want_ids`` the ids and the decoded text.
 
-    ``path`` names the model on the executors. A null text is empty and has no ids.
+    ``path`` names the model on the executors. A null text is empty and has no ids. Ids of rows may be null or
+    repeat, and every row is encoded by itself. Texts may be of any length, other columns are ignored, whatever their
+    names, and an empty table gives no rows.
     """
     schema = "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, same boolean"
     return keyed(docs).select("doc_id", "text").mapInArrow(

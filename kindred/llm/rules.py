@@ -168,7 +168,9 @@ def apply_rules(
     """Every row of ``docs`` by doc_id with its counts, base_failed and kept, and if wanted its clean lines.
 
     With ``kept_text`` the columns _id, _key (of the input row) and clean_text, the text without the
-    failing lines, are added. A null or empty text has no words and so fails; ids may be null or repeat.
+    failing lines, are added. A null or empty text has no words and so fails; ids may be null or repeat,
+    and every row is judged by itself. Texts may be of any length, other columns are ignored, whatever their
+    names, and an empty table gives no rows.
     """
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS) + ", base_failed boolean, kept boolean"
     return keyed(docs).mapInArrow(

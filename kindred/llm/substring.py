@@ -176,7 +176,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, kept_t
 
     Words are runs of anything but blanks. A word goes if a window of ``window`` words covers it that
     also starts elsewhere, in any row or in the same one; all are judged on the input. Kept words are
-    joined by one space. A null text has no words; ids may be null or repeat; other columns are ignored.
+    joined by one space. A null text has no words; ids may be null or repeat, and a repeated row is an occurrence of
+    its own, so all its windows go. Texts may be of any length, other columns are ignored, whatever their names, and
+    an empty table gives no rows.
     With ``kept_text`` the columns _id, _key (of the input row) and kept are added.
     """
     docs = keyed(docs)

@@ -380,7 +380,9 @@ def drop_repeats(
 
     A byte goes if a string of ``length`` bytes covers it that also starts earlier (``repeated_spans``
     says what is earlier); all are judged on the input. Kept bytes are joined; cuts may fall inside a
-    character, so they are binary. A null text is empty; other columns are ignored.
+    character, so they are binary. A null text is empty; ids may be null or repeat, and rows with one id and text
+    are copies of one document, which does not repeat itself by them. Texts may be of any length, other columns are
+    ignored, whatever their names, and an empty table gives no rows.
     """
     docs = keyed(docs)
     spans = repeated_spans(docs, length, seed, crowd).groupBy(*KEY)

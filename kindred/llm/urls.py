@@ -123,7 +123,8 @@ def judge(
     """Every row of ``pages`` (page_id, url, html) with host, path, rule and verdict.
 
     A url without host gets the verdict allow, as does any host that nothing speaks against. Ids may be
-    null or repeat; html may be null; other columns are ignored.
+    null or repeat, and repeated rows are pages of their own; html may be null and of any length; other columns are
+    ignored, whatever their names; an empty table gives no rows.
     """
     scratch = Scratch(pages.sparkSession)
     parts = with_parts(pages).withColumn("found", rule_of(rules, F.col("host"), F.col("path")))
