@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20  # bytes of text handled at once
+CHUNK = 1 << 19  # bytes of text handled at once
 U = np.uint64
 LEAF = 128  # values in one polynomial of a range of any length
 # Odd multipliers of the rolling hashes, all 3 or 5 modulo 8, and constants of the bit mixer (fixed values).
@@ -96,7 +96,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = _POWERS.get(base, (np.ones(1, U), np.ones(1, U)))
     if len(up) < n:
         inverse = pow(base, -1, 1 << 64)
-        size = max(n, 2 * len(up))
+        size = max(n, CHUNK + CHUNK // 4)
         factors = np.full(size, base, U), np.full(size, inverse, U)
         for f in factors:
             f[0] = 1
