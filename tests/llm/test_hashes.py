@@ -1,5 +1,7 @@
 """Texts made so that polynomials modulo 2**64 agree: the orders of Thue and Morse, and of blocks in them."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -7,7 +9,7 @@ from kindred.llm import bytesops as B
 from kindred.llm import jaccard, rules, substring, suffixes
 from tests.llm import test_jaccard, test_rules, test_substring, test_suffixes
 from tests.conftest import rows
-from tests.llm.texts import frame
+from tests.llm.texts import frame, prose
 
 
 def morse(n, one="a", two="b"):
@@ -82,3 +84,24 @@ def test_suffix_array_dedup(spark, length):
     docs = [(i, t) for i, t in documents() if len(t) < 5000]
     got = suffixes.drop_repeats(frame(spark, docs), length, kept_bytes=False)
     assert rows(got) == sorted(test_suffixes.expected(spark, docs, length), key=repr)
+
+
+def long_documents():
+    """Texts longer than what is handled at once, with passages that repeat within and across them."""
+    rng = random.Random(5)
+    passage = prose(rng, 80)
+    long = "\n".join(f"{prose(rng, 30)} {passage if i % 500 == 250 else ''}" for i in range(4500))
+    assert len(long.encode()) > B.CHUNK
+    words = long.split(" ")
+    words[len(words) // 2] = "changed"
+    return [(1, long), (2, "short"), (3, " ".join(words)), (4, prose(rng, 60) + " " + passage), (5, None)]
+
+
+def test_texts_longer_than_a_chunk(spark):
+    docs = long_documents()
+    table = frame(spark, docs)
+    assert rows(substring.drop_repeats(table, kept_text=False)) == sorted(test_substring.expected(docs, 35), key=repr)
+    found = jaccard.join(table).select("doc_id", "n_shingles", "n_links")
+    assert rows(found) == sorted(((i, n, links) for i, n, links, _ in test_jaccard.expected(docs)), key=repr)
+    assert rows(rules.apply_rules(table, kept_text=False)) == sorted(test_rules.expected(docs), key=repr)
+    assert rows(suffixes.drop_repeats(table, kept_bytes=False)) == sorted(test_suffixes.expected(spark, docs, 100), key=repr)
