@@ -35,7 +35,8 @@ from kindred.llm.tables import Scratch
 DEPTH = 4
 CHUNK = 8 << 20
 PIECE = 1 << 19  # bytes of a chunk that are handled at once
-SHARDS = 256
+SHARDS = 256  # groups of contexts at least, and
+SHARD_GRAMS = 200_000  # grams in one on average at most
 TOP = 2  # bytes of context that grams of one group share
 MARK = 0xFF  # before and after a text; no byte of UTF-8
 _LOWER = np.arange(256, dtype=np.uint8) + 32 * B.table(spans=((0x41, 0x5A),)).astype(np.uint8)
@@ -345,8 +346,8 @@ def score(docs: DataFrame, held: Column | None = None, depth: int = DEPTH, chunk
 
     wanted = asked.filter("gram IS NOT NULL").select("chunk", "gram", "n")
     totals = scratch.keep(wanted.groupBy("gram").agg(F.sum("n").alias("n")))
-    before = F.shiftright("gram", 8 * (depth - 1))  # the last two bytes
-    weighed = totals.withColumn("shard", F.pmod(F.hash(before), F.lit(SHARDS))).groupBy("shard")
+    before, shards = F.shiftright("gram", 8 * (depth - 1)), max(SHARDS, totals.count() // SHARD_GRAMS)  # the last two bytes
+    weighed = totals.withColumn("shard", F.pmod(F.hash(before), F.lit(shards))).groupBy("shard")
     weighed = scratch.keep(weighed.applyInArrow(_weigh_table(depth), "gram long, p binary, node long, weight double"))
     counts, below = np.zeros((256, 256)), np.zeros((256, 256))
     pair = (F.shiftright("gram", 8 * depth) * 256 + F.col("gram").bitwiseAND(255)).alias("pair")
