@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: list[list[str]] = []  # paths of the tables of each owner, the innermost last
+
 
 def get_session(
     master: str | None = None,
@@ -45,8 +49,24 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
     For results that several later steps read, such as a trained model. The table outlives lost
-    executors, and its readers see its size.
+    executors, and its readers see its size. :func:`own_tables` deletes it.
     """
     path = f"{shared_folder(df.sparkSession)}/kindred-{uuid.uuid4().hex}"
+    for paths in _OPEN[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside are deleted in the end, so results must be written or collected before.
+
+    Without it they stay until the owner of the shared folder removes them, as lazy results read them.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, _OPEN.pop()):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

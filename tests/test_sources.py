@@ -1,10 +1,11 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import Observation
 
 from kindred.operators import minhash, text
-from kindred.session import materialize
+from kindred.session import materialize, own_tables
 from kindred.plans.collaborative import cf_train
 from kindred.sources import json_lines as io
 from tests.conftest import rows
@@ -143,3 +144,19 @@ def test_candidates_are_counted_in_the_run_that_verifies_them(spark):
         counts = Observation()
         found = minhash.similar_pairs_lsh(members, threshold=0.5, family=family, rows_per_band=per_band, start="buckets", counts=counts)
         assert 0 < found.count() <= counts.get["n_candidates"] == minhash.lsh_pairs(signatures, "business_id", 8, per_band).count()
+
+
+def test_tables_are_deleted_by_their_owner(spark):
+    before = materialize(spark.range(3))
+    with own_tables(spark):
+        inside = materialize(spark.range(5))
+        with own_tables(spark):
+            inner = materialize(spark.range(7))
+        assert inside.count() == 5
+    assert before.count() == 3
+    for gone in (inside, inner):
+        assert not os.path.exists(gone.inputFiles()[0].removeprefix("file://"))
+    with pytest.raises(ZeroDivisionError), own_tables(spark):
+        left = materialize(spark.range(2))
+        raise ZeroDivisionError
+    assert not os.path.exists(left.inputFiles()[0].removeprefix("file://"))
