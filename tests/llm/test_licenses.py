@@ -70,3 +70,21 @@ def test_matching_statistics_equal_brute_force():
 
 def test_empty_table(spark):
     assert rows(licenses.scan(frame(spark, []))) == []
+
+
+def test_every_template_has_its_own_label_and_no_other_whole_one(spark):
+    texts = [(label, t) for label, ts in licenses.TEMPLATES.items() for t in ts]
+    docs = [(i, f"some words ahead {t} and behind") for i, (_, t) in enumerate(texts)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, docs)).collect()}
+    for i, (label, _) in enumerate(texts):
+        assert label in got[i].labels.split(",") and got[i].score == 1
+
+
+def test_a_licence_with_parts_left_out(spark):
+    for label, text in (("mit", licenses.TEMPLATES["mit"][2]), ("bsd", licenses.TEMPLATES["bsd"][1]), ("unlicense", licenses.TEMPLATES["unlicense"][0])):
+        words = text.split()
+        half = " ".join(words[len(words) // 2 :])
+        most = " ".join(words[len(words) // 5 :])
+        got = {r.doc_id: r for r in licenses.scan(frame(spark, [(1, half), (2, most)])).collect()}
+        assert got[1].labels == "" and 0.4 < got[1].score < 0.6
+        assert got[2].labels == label and 0.7 < got[2].score < 0.9
