@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -152,3 +153,59 @@ def test_null_elements_are_shared_by_nobody(spark):
     members = spark.createDataFrame([(b, None) for b in range(20)] + [(1, 5), (2, 5)], "business_id long, user_id long")
     found = pairs.overlap_pairs(members, "business_id", "user_id", None, 1, hot_floor=3)
     assert [(r["a"], r["b"], r["n"]) for r in found.collect()] == [(1, 2, 1)]
+
+
+def brute_moments(ratings, needed):
+    stars = {(u, b): s for u, b, s in ratings}
+    items = sorted({b for _, b in stars})
+    users = sorted({u for u, _ in stars})
+    want = {}
+    for a, b in combinations(items, 2):
+        both = [(stars[u, a], stars[u, b]) for u in users if (u, a) in stars and (u, b) in stars]
+        if len(both) >= needed:
+            x, y = zip(*both)
+            want[a, b] = (len(both), sum(x), sum(y), sum(i * i for i in x), sum(j * j for j in y), sum(i * j for i, j in both))
+    return want
+
+
+@pytest.mark.parametrize("floor", [5_000, 12])
+@pytest.mark.parametrize("chunk", [100_000, 6])
+def test_parts_grow_with_the_pairs_and_large_entities_are_cut(spark, monkeypatch, floor, chunk):
+    monkeypatch.setattr(pairs, "PART_PAIRS", 100)
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", chunk)
+    draw = random.Random(12)
+    ratings = [(u, b, float(draw.randrange(1, 6))) for u in range(40) for b in range(50) if draw.random() < 0.3 or b == 0]
+    df = spark.createDataFrame(ratings, "user_id long, business_id long, stars double")
+    found = pairs.pair_moments(df, hot_floor=floor)
+    got = {(r["a"], r["b"]): tuple(r)[2:] for r in found.collect()}
+    assert got == brute_moments(ratings, 3) and len(found.collect()) == len(got)
+    if floor == 5_000:
+        held = Counter(u for u, _, _ in ratings)
+        n_parts = -(-sum(n * (n - 1) // 2 for n in held.values()) // 100)
+        dealt = "a#\\d+L, _piece#\\d+" if chunk == 6 else "a#\\d+L"
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\({dealt}, {n_parts}\)", plan) and n_parts > 40
+
+
+def test_pairs_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PART_PAIRS", 10_000)
+    # Ten users with 100 items each: 49,500 pairs, of which at most 1,000 rows, each with a list, meet by item.
+    members = [(b, u) for u in range(10) for b in range(u * 100, u * 100 + 100)]
+    plan = pairs.overlap_pairs(table(spark, members), "business_id", "user_id", None, 2)._jdf.queryExecution().executedPlan().toString()
+    after = [line for line in plan.split("\n") if "Exchange" in line or "Generate inline" in line]
+    # read from the result down: the lists become pairs after the last exchange
+    assert "Generate inline" in after[0] and re.search(r"hashpartitioning\(a#\d+L, 5\)", after[1])
+
+
+@pytest.mark.parametrize("floor", [5_000, 3, 10])
+def test_null_entities_make_no_pair_and_null_elements_count_in_sizes(spark, floor):
+    made = [(None, u) for u in range(6)] + [(b, u) for b in range(4) for u in range(b, 6)] + [(0, None), (1, None)]
+    df = spark.createDataFrame(made, "business_id long, user_id long")
+    sets = {b: set(range(b, 6)) for b in range(4)}
+    size = {b: len(s) + (b < 2) for b, s in sets.items()}
+    want = {}
+    for a, b in combinations(range(4), 2):
+        n = len(sets[a] & sets[b])
+        if n / (size[a] + size[b] - n) >= 0.5:
+            want[a, b] = round(n / (size[a] + size[b] - n), 9)
+    assert sims(pairs.similar_pairs(df, threshold=0.5, hot_floor=floor)) == want
