@@ -199,6 +199,19 @@ def test_banded_pairs_do_not_start_from_all_pairs(spark):
     assert re.search(r"\bvia#", exact)
 
 
+def test_rows_that_look_elements_up_hold_no_sizes(spark):
+    made = random_sets(6, 300)
+    table = members(spark, made)
+    sized = pairs.with_sizes(pairs.overlap_pairs(table, "business_id", "user_id").select("a", "b"), table, "business_id")
+    found = pairs.looked_up(sized, table, "business_id", "user_id")
+    sets = naive.sets_of(made)
+    want = {(x, y): (len(sets[x]), len(sets[y]), len(sets[x] & sets[y])) for x in sets for y in sets if x < y and sets[x] & sets[y]}
+    assert {(r.a, r.b): (r.size_a, r.size_b, r.n) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    met = next(line for line in plan.split("\n") if "Aggregate [_few" in line)
+    assert "size_" not in met
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 100_000])
 def test_a_large_set_is_cut_into_pieces(spark, chunk):
     made = random_sets(3) + [(77, u) for u in range(500)]
