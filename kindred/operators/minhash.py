@@ -272,7 +272,7 @@ def lsh_candidate_pairs(
     members = materialize(members.select(entity, element))
     signatures = signed(members, entity, element, family, prime, bucketed)
     if min_overlap > 0:
-        shared = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor)
+        shared = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor, raw=members)
         met = with_shared_bands(shared, materialize(signatures), entity, len(family), rows_per_band)
     else:
         lists, n_pairs = bucket_lists(materialize(signatures), entity, len(family), rows_per_band)
@@ -314,7 +314,7 @@ def similar_pairs_lsh(
         found = verified(candidates, members, entity, element, threshold=threshold)
         sim = F.round(jaccard(F.col("n"), F.col("size_a"), F.col("size_b")), SIM_DIGITS)
         return found.select(F.col("a").alias("b1"), F.col("b").alias("b2"), sim.alias("sim"))
-    pairs = similar_pairs(members, entity, element, threshold, hot_floor)
+    pairs = similar_pairs(members, entity, element, threshold, hot_floor, members)
     if counts is not None:
         pairs = pairs.observe(counts, F.count(F.lit(1)).alias("n_candidates"))
     met = with_shared_bands(pairs, signatures, entity, len(family), rows_per_band, "b1", "b2")

@@ -91,7 +91,7 @@ def user_cf_model_lsh(
         candidates = lsh_pairs(signatures, user, len(family), rows_per_band).select("a", "b")
         likely = with_sizes(candidates, latest, user)
     else:
-        shared = overlap_pairs(latest, user, item, None, min_overlap, hot_floor=hot_floor)
+        shared = overlap_pairs(latest, user, item, None, min_overlap, hot_floor=hot_floor, raw=latest)
         met = with_shared_bands(shared, signatures, user, len(family), rows_per_band)
         sized = with_sizes(met.select("a", "b", F.col("n").alias("_n")), latest, user)
         likely = sized.filter(jaccard(F.col("_n"), F.col("size_a"), F.col("size_b")) >= min_jaccard).drop("_n")

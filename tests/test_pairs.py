@@ -4,6 +4,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from kindred.operators import pairs
 from kindred.operators import ratings as rated
@@ -197,6 +198,34 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
     assert "Generate inline" in after[0] and re.search(r"hashpartitioning\(a#\d+L, 5\)", after[1])
 
 
+def test_rows_are_written_once_and_meet_without_a_join(spark):
+    members = table(spark, random_members(3))
+    plan = pairs.overlap_pairs(members, "business_id", "user_id", None, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan and plan.count("FileScan parquet") == 1
+
+
+def test_sizes_too_far_apart_do_not_meet_though_others_of_the_list_do(spark):
+    # Element 0 is held by all, the others of 1000 and more by two of near sizes.
+    sizes = {4: 1, 1: 2, 3: 10, 2: 40, 5: 11}
+    members = [(b, 0) for b in sizes] + [(b, 100 * b + i) for b, n in sizes.items() for i in range(1, n)]
+    members += [(b, 1000 + i) for b in (3, 5) for i in range(20)]
+    held = Counter(b for b, _ in members)
+    sized = spark.createDataFrame([(b, u, held[b]) for b, u in members], "id long, via long, size long")
+    lists = pairs.group_lists(
+        sized, ["via"], ["size"], False, lambda size: (size * 10 >= F.col("size_a") * 4) & (F.col("size_a") * 10 >= size * 4)
+    )
+    met = {(r["a"], b) for r in lists.collect() for b in r["bs"]}
+    want = {(a, b) for a, b in combinations(sorted(held), 2) if min(held[a], held[b]) * 10 >= max(held[a], held[b]) * 4}
+    assert met == want and 0 < len(want) < 10
+
+
+def test_repeated_rows_meet_the_others_as_often_as_they_stand_but_not_themselves(spark):
+    made = [(1, 7), (1, 7), (2, 7), (2, 7), (3, 7), (None, 7), (1, 8), (3, 8)]
+    df = spark.createDataFrame(made, "business_id long, user_id long")
+    found = pairs.overlap_pairs(df, "business_id", "user_id", None, 1)
+    assert {(r["a"], r["b"]): r["n"] for r in found.collect()} == {(1, 2): 4, (1, 3): 3, (2, 3): 2}
+
+
 @pytest.mark.parametrize("floor", [5_000, 3, 10])
 def test_null_entities_make_no_pair_and_null_elements_count_in_sizes(spark, floor):
     made = [(None, u) for u in range(6)] + [(b, u) for b in range(4) for u in range(b, 6)] + [(0, None), (1, None)]
