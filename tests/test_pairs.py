@@ -238,3 +238,14 @@ def test_null_entities_make_no_pair_and_null_elements_count_in_sizes(spark, floo
         if n / (size[a] + size[b] - n) >= 0.5:
             want[a, b] = round(n / (size[a] + size[b] - n), 9)
     assert sims(pairs.similar_pairs(df, threshold=0.5, hot_floor=floor)) == want
+
+
+def test_lists_are_made_in_parts_that_follow_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "LIST_PAIRS", 1_000)
+    # 30 users with 40 items each: 1,200 rows, which the runtime would take as one part, and 23,400 pairs.
+    ratings = [(u, u + 7 * i, float(1 + (u + i) % 5)) for u in range(30) for i in range(40)]
+    df = spark.createDataFrame(ratings, "user_id long, business_id long, stars double")
+    found = pairs.pair_moments(df)
+    assert {(r["a"], r["b"]): tuple(r)[2:] for r in found.collect()} == brute_moments(ratings, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(via#\d+L, 25\), REPARTITION_BY_NUM", plan)
