@@ -36,15 +36,15 @@ def item_cf_model(
     latest = dedup_ratings(ratings, order_cols)
     if min_ratings > min_overlap:
         latest = keep_supported(ratings, latest, min_ratings)
-    sims = pearson_pairs(pair_moments(latest, "business_id", "user_id", "stars", min_overlap, hot_floor, ratings))
+    sims = pearson_pairs(pair_moments(latest, "business_id", "user_id", "stars", min_overlap, hot_floor))
     return sims.filter(F.col("sim") > 0).select(F.col("a").alias("b1"), F.col("b").alias("b2"), "sim")
 
 
 def _user_pairs(
     ratings: DataFrame, order_cols: Sequence[str], min_overlap: int, min_jaccard: float, hot_floor: int
 ) -> DataFrame:
-    latest = dedup_ratings(ratings, order_cols)
-    moments = pair_moments(latest, "user_id", "business_id", "stars", min_overlap, hot_floor, ratings)
+    latest = materialize(dedup_ratings(ratings, order_cols))
+    moments = pair_moments(latest, "user_id", "business_id", "stars", min_overlap, hot_floor, latest)
     likely = pearson_pairs(moments).filter(F.col("sim") > 0)
     # Set sizes are those of the distinct (user, item) rows.
     sized = with_sizes(likely, latest, "user_id")

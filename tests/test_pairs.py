@@ -249,3 +249,27 @@ def test_lists_are_made_in_parts_that_follow_the_pairs(spark, monkeypatch):
     assert {(r["a"], r["b"]): tuple(r)[2:] for r in found.collect()} == brute_moments(ratings, 3)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(via#\d+L, 25\), REPARTITION_BY_NUM", plan)
+
+
+@pytest.mark.parametrize(
+    ("shift", "step", "short"),
+    [(0, 1.0, True), (2**31 - 30, 1.0, True), (2**31 - 29, 1.0, False), (-(2**31) - 1, 1.0, False), (0, 0.5, False), (0, 64.0, False)],
+)
+def test_whole_numbers_travel_short_only_where_all_fit(spark, shift, step, short):
+    draw = random.Random(5)
+    ratings = [(u, b + shift, step * draw.randrange(1, 6)) for u in range(20) for b in range(30) if draw.random() < 0.4 or b in (0, 29)]
+    df = spark.createDataFrame(ratings, "user_id long, business_id long, stars double")
+    found = pairs.pair_moments(df)
+    assert found.dtypes[:2] == [("a", "bigint"), ("b", "bigint")]
+    assert {(r["a"], r["b"]): tuple(r)[2:] for r in found.collect()} == brute_moments(ratings, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("as int) AS id" in plan and "as tinyint) AS v" in plan) == short
+
+
+def test_values_that_are_no_numbers_stay_as_they_are(spark):
+    nan = float("nan")
+    made = [(u, b, nan if (u, b) == (0, 0) else None if (u, b) == (0, 1) else 2.0) for u in range(4) for b in range(4)]
+    df = spark.createDataFrame([*made, (None, 2, 1.0), (9, None, 300.0)], "user_id long, business_id long, stars double")
+    found = {(r["a"], r["b"]): r for r in pairs.pair_moments(df).collect()}
+    assert len(found) == 6 and all(r["n"] == 4 for r in found.values())
+    assert found[0, 2]["sx"] != found[0, 2]["sx"] and found[1, 2]["sx"] == 6.0 and found[2, 3]["sxy"] == 16.0
