@@ -36,3 +36,8 @@ def test_top_words_are_cut_before_the_shuffle(spark):
 
 def test_self_joined_ratings_are_shuffled_once(spark):
     assert "ReusedExchange" in final_plan(queries.pair_moments(spark, SF_DIR))
+
+
+def test_predictions_join_the_given_tables_once(spark):
+    for query in (queries.user_cf_rmse, queries.item_cf_predict):
+        assert "lineitem.parquet" not in query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
