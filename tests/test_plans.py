@@ -1,6 +1,7 @@
 """The plans keep the shapes that matter on large inputs."""
 
 from checks import inputs, queries
+from kindred.operators import skew
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,3 +42,21 @@ def test_self_joined_ratings_are_shuffled_once(spark):
 def test_predictions_join_the_given_tables_once(spark):
     for query in (queries.user_cf_rmse, queries.item_cf_predict):
         assert "lineitem.parquet" not in query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parts_of_the_input_follow_its_rows(spark, monkeypatch):
+    few = inputs.ratings(spark, SF_DIR)  # 6,000 rows, whatever the runtime makes of them
+    monkeypatch.setattr(skew, "PART_ROWS", 100)
+    many = inputs.ratings(spark, SF_DIR)
+    assert many.rdd.getNumPartitions() == 60
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, few.collect()), key=repr)
+
+
+def test_an_even_join_keeps_repeated_keys_and_drops_null_ones(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PART_ROWS", 2)
+    left = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(60)], "k long, x long")
+    right = spark.createDataFrame([(k, y) for k in (0, 1, 2, None) for y in (1, 2)], "k long, y long")
+    joined = skew.even_join(left, right, "k")
+    assert joined.rdd.getNumPartitions() == 30
+    wanted = [(i % 7, i, y) for i in range(60) if i % 5 and i % 7 < 3 for y in (1, 2)]
+    assert sorted(map(tuple, joined.collect())) == sorted(wanted)
