@@ -17,6 +17,7 @@ from kindred.operators.pairs import (
     block_columns,
     count_pairs,
     group_lists,
+    id_base,
     looked_up,
     overlap_pairs,
     overlaps_of,
@@ -216,12 +217,13 @@ def lsh_pairs(
     All pairs of a bucket are candidates, and so are written out: bands of one row, in which unrelated entities
     meet often, are better tested on pairs that are known otherwise (:func:`with_shared_bands`).
     """
-    lists, n_pairs = bucket_lists(signatures, entity, length, rows_per_band, block_rows)
-    return count_pairs(lists, [], {"n_bands": F.count(F.lit(1)).cast("int")}, n_pairs)
+    base = id_base(signatures, entity)
+    lists, n_pairs = bucket_lists(signatures, entity, length, rows_per_band, block_rows, base)
+    return count_pairs(lists, [], {"n_bands": F.count(F.lit(1)).cast("int")}, n_pairs, base=base)
 
 
 def bucket_lists(
-    signatures: DataFrame, entity: str, length: int, rows_per_band: int = 1, block_rows: int = BLOCK_ROWS
+    signatures: DataFrame, entity: str, length: int, rows_per_band: int = 1, block_rows: int = BLOCK_ROWS, base: int | None = None
 ) -> tuple[DataFrame, float]:
     """(a, bs), the lists of :func:`~kindred.operators.pairs.group_lists` of all buckets, and the number of their entries.
 
@@ -236,7 +238,9 @@ def bucket_lists(
     large = materialize(counts.filter(F.col("n") > block_rows).withColumnRenamed("n", "_n"))
     rows = entries.join(large, ["band", "bucket"], "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
     n_pairs = met.get["n"]
-    return group_lists(block_columns(rows, "_n", block_rows), ["band", "bucket"], [], True, entries=met.get["rows"] + n_pairs), n_pairs
+    blocked = block_columns(rows, "_n", block_rows)
+    lists = group_lists(blocked, ["band", "bucket"], [], True, entries=met.get["rows"] + n_pairs, base=base)
+    return lists.drop("_lo", "_hi"), n_pairs
 
 
 def verified(
@@ -276,8 +280,9 @@ def lsh_candidate_pairs(
         shared = overlap_pairs(members, entity, element, min_overlap=min_overlap, hot_floor=hot_floor, raw=members)
         met = with_shared_bands(shared, materialize(signatures), entity, len(family), rows_per_band)
     else:
-        lists, n_pairs = bucket_lists(materialize(signatures), entity, len(family), rows_per_band)
-        met = overlaps_of(lists, n_pairs, members, entity, element, hot_floor).withColumn("n_bands", F.col("n_met").cast("int"))
+        base = id_base(members, entity)
+        lists, n_pairs = bucket_lists(materialize(signatures), entity, len(family), rows_per_band, base=base)
+        met = overlaps_of(lists, n_pairs, members, entity, element, hot_floor, base).withColumn("n_bands", F.col("n_met").cast("int"))
     return met.select(F.col("a").alias("b1"), F.col("b").alias("b2"), "n", "n_bands")
 
 

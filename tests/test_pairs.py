@@ -273,3 +273,16 @@ def test_values_that_are_no_numbers_stay_as_they_are(spark):
     found = {(r["a"], r["b"]): r for r in pairs.pair_moments(df).collect()}
     assert len(found) == 6 and all(r["n"] == 4 for r in found.values())
     assert found[0, 2]["sx"] != found[0, 2]["sx"] and found[1, 2]["sx"] == 6.0 and found[2, 3]["sxy"] == 16.0
+
+
+@pytest.mark.parametrize(("floor", "chunk"), [(5_000, 5), (6, 100_000)])
+@pytest.mark.parametrize(("least", "most", "packed"), [(0, 2**24 - 1, True), (-5, 2**24 - 5, False), (2**62, 2**62 + 2**24 - 1, True), (-(2**63), 2**63 - 1, False)])
+def test_lists_hold_three_bytes_an_id_where_all_are_near(spark, monkeypatch, floor, chunk, least, most, packed):
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", chunk)
+    draw = random.Random(7)
+    ids = [least, least + 1, least + 2**16 - 1, least + 2**16, least + 2**23, most - 2**15, most - 1, most]
+    members = [(b, u) for b in ids for u in range(12) if draw.random() < 0.6]
+    found = pairs.similar_pairs(table(spark, members), threshold=0.2, hot_floor=floor)
+    assert sims(found) == naive.similar(members, 0.2) and sims(found)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("low_bs" in plan) == packed

@@ -1,8 +1,12 @@
+import glob
 import json
 import os
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from kindred.operators import minhash, text
 from kindred.session import materialize, own_tables
@@ -160,3 +164,24 @@ def test_tables_are_deleted_by_their_owner(spark):
         left = materialize(spark.range(2))
         raise ZeroDivisionError
     assert not os.path.exists(left.inputFiles()[0].removeprefix("file://"))
+
+
+def test_shuffle_files_go_with_the_plan_that_made_a_table(spark):
+    def held():
+        return {f for d in glob.glob(f"{tempfile.gettempdir()}/blockmgr-*") for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for given in (None, "false"):
+        if given:
+            spark.conf.set(key, given)
+        before = held()
+        kept = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+        for _ in range(50):
+            if not (left := held() - before):
+                break
+            time.sleep(0.1)
+        assert not left and kept.count() == 7
+        assert spark.conf.get(key, None) == given
+    spark.conf.unset(key)
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
+    assert held() - before  # the folder is the right one
