@@ -226,3 +226,24 @@ def test_ids_of_an_empty_table_and_nulls(spark):
     assert minhash.encode_ids(spark.createDataFrame([], "k string"), "k").collect() == []
     df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "k string")
     assert rows(minhash.encode_ids(df, "k")) == [("a", 0), ("b", 1)]
+
+
+@pytest.mark.parametrize(("per_band", "floor", "shift"), [(1, 5_000, 0), (2, 8, 2**40), (1, 8, None)])
+def test_candidates_are_listed_in_rounds_where_their_lists_are_long(spark, monkeypatch, per_band, floor, shift):
+    made = random_sets() + [(b, 900) for b in range(100, 130)] + [(5, None), (None, 900), (2**24, 900), (2**24 - 1, 101)]
+    if shift is None:
+        table = spark.createDataFrame([(b and f"{b:09d}", u) for b, u in made], "business_id string, user_id long")
+    else:
+        table = members(spark, [(b and b + shift, u) for b, u in made if b != 2**24 or not shift])
+    listed, written = [], []
+    for most in (10**9, 1_500):
+        monkeypatch.setattr(pairs, "ROUND_PAIRS", most)
+        monkeypatch.setattr(pairs, "_written", lambda *given, real=pairs._written: written.append(1) or real(*given))
+        found = minhash.lsh_candidate_pairs(table, min_overlap=0, family=minhash.hash_family(6, 3), rows_per_band=per_band, hot_floor=floor)
+        listed.append(rows(found))
+        if most == 10**9:
+            assert not written
+        else:
+            assert len(written) > 1 and "low_bs" not in found._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.undo()
+    assert listed[0] == listed[1] and len(listed[0]) > 400 and any(r[2] > 1 for r in listed[0])
